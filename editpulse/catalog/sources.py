@@ -75,7 +75,7 @@ def xml(spark, d):
         "page_title", "hour", "revid", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         who, minor, "comment", "size_bytes", F.repeat(F.lit("x"), F.col("hour")),
         -F.col("revid") - 1, "revid", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"), who)
-    E.edits(spark, d).select(text.alias("value")).write.option("compression", "bzip2").text(path)
+    E.edits(spark, d).select(text.alias("value")).write.text(path)
     return rounded(P.read_xml_dump(spark, f"{path}/part-*"))
 
 

@@ -12,6 +12,7 @@ from editpulse.operators.keysplit import (
     MAX_ROWS, KeySplit, drop_carry, previous, split_hot_keys, with_sequence,
 )
 from editpulse.schemas import REQUIRED, SILVER_COLUMNS
+from editpulse.session import stored
 
 
 def require_not_null(df: DataFrame, columns: list[str] = REQUIRED) -> DataFrame:
@@ -60,7 +61,7 @@ def size_change(df: DataFrame, *, page_col: str = "page_title", ts_col: str = "t
     """
     split = split or split_hot_keys(df, page_col, epoch_seconds(ts_col), max_rows)
     order = [ts_col, id_col]
-    out = with_sequence(df, split, order).withColumn(
+    out = with_sequence(df, split, order, (size_col,)).withColumn(
         "prev_size", previous(size_col, split, order))
     change = F.col(size_col) - F.coalesce("prev_size", F.lit(0))
     out = drop_carry(out, split).withColumns({
@@ -94,9 +95,13 @@ def silver(bronze: DataFrame, *, max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Bronze to silver in one lazy plan: two shuffles, by id and by page.
 
     The hot-page check counts bronze rows, before de-duplication, so it costs
-    one narrow pass and no extra shuffle of whole rows.
+    one narrow pass and no extra shuffle of whole rows. Where there are hot
+    pages, the cleaned rows are read more than once and therefore stored.
     """
     seconds = epoch_seconds(parse_timestamp("timestamp"))
     found = split_hot_keys(require_not_null(bronze), "page_title", seconds, max_rows)
     split = KeySplit(found.key, epoch_seconds("timestamp"), found.hot, found.cells)
-    return silver_projection(size_change(clean_revisions(bronze), split=split))
+    rows = clean_revisions(bronze)
+    if split.hot is not None:
+        rows = stored(rows, "clean")
+    return silver_projection(size_change(rows, split=split))

@@ -65,12 +65,17 @@ def edit_features(df: DataFrame) -> DataFrame:
 
 def user_sequence(df: DataFrame, *, user_col: str = "user", ts_col: str = "timestamp",
                   id_col: str = "revid", stats: DataFrame | None = None,
+                  source: DataFrame | None = None,
                   max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Position in the user's history, gap to the edit before, rapid flag."""
+    """Position in the user's history, gap to the edit before, rapid flag.
+
+    ``source`` may name a cheaper table with the same rows for the hot-user
+    check.
+    """
     seconds = epoch_seconds(ts_col)
-    split = split_hot_keys(df, user_col, seconds, max_rows)
+    split = split_hot_keys(df if source is None else source, user_col, seconds, max_rows)
     order = [ts_col, id_col]
-    rows = with_sequence(df, split, order, stats=stats).withColumns({
+    rows = with_sequence(df, split, order, stats=stats, source=source).withColumns({
         "user_edit_sequence": row_sequence(split, order),
         "_before": previous(seconds, split, order),
     })
@@ -86,18 +91,18 @@ def user_sequence(df: DataFrame, *, user_col: str = "user", ts_col: str = "times
 
 def page_sequence(df: DataFrame, *, page_col: str = "page_title", ts_col: str = "timestamp",
                   id_col: str = "revid", change_col: str = "size_change",
-                  stats: DataFrame | None = None, counted: DataFrame | None = None,
+                  stats: DataFrame | None = None, source: DataFrame | None = None,
                   max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Position in the page's history and the revert-candidate flag.
 
     A revert candidate removes more than 80 % of what the edit before changed.
-    ``counted`` may name a cheaper table with the same rows for the hot-page
+    ``source`` may name a cheaper table with the same rows for the hot-page
     check.
     """
-    split = split_hot_keys(df if counted is None else counted,
+    split = split_hot_keys(df if source is None else source,
                            page_col, epoch_seconds(ts_col), max_rows)
     order = [ts_col, id_col]
-    rows = with_sequence(df, split, order, stats=stats).withColumns({
+    rows = with_sequence(df, split, order, (change_col,), stats=stats, source=source).withColumns({
         "page_edit_sequence": row_sequence(split, order),
         "_before": previous(change_col, split, order),
     })
@@ -119,17 +124,22 @@ def derived_features(df: DataFrame) -> DataFrame:
 
 
 def features(silver: DataFrame, *, max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Silver plus the 28 features."""
+    """Silver plus the 28 features.
+
+    Pass a stored silver table: statistics and hot-key checks read a few of its
+    columns each, next to the one pass over whole rows.
+    """
     by_user = user_sequence(silver, stats=user_stats(silver), max_rows=max_rows)
-    # Hot pages are counted on silver itself; the user step keeps every row.
-    by_page = page_sequence(by_user, counted=silver, stats=page_stats(silver), max_rows=max_rows)
+    # Counted on silver itself; the user step keeps every row.
+    by_page = page_sequence(by_user, source=silver, stats=page_stats(silver), max_rows=max_rows)
     filled = by_page.fillna(0, subset=USER_FEATURES + PAGE_FEATURES)
     return derived_features(edit_features(temporal_features(filled)))
 
 
 def trailing_edit_counts(df: DataFrame, *, user_col: str = "user", ts_col: str = "timestamp",
                          horizons: dict[str, int] | None = None,
+                         source: DataFrame | None = None,
                          max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Edits by the same user in the last hour and the last seven days."""
     horizons = horizons or {"edits_last_hour": HOUR, "edits_last_7_days": WEEK}
-    return trailing_counts(df, user_col, epoch_seconds(ts_col), horizons, max_rows)
+    return trailing_counts(df, user_col, epoch_seconds(ts_col), horizons, max_rows, source)

@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from editpulse.session import stored
+
 MAX_ROWS = 5_000_000
 MAX_SEGMENTS = 50_000
 CELLS_PER_SEGMENT = 16
@@ -119,51 +121,52 @@ def split_hot_keys(df: DataFrame, key: str, seconds: Column,
     hot = counts.filter((F.col("_rows") > limit) & F.col("_first").isNotNull()).select(
         key, "_first",
         F.greatest(F.lit(1), F.ceil(span / n_cells)).cast("bigint").alias("_width"))
-    split = KeySplit(key, seconds, hot)
+    split = KeySplit(key, seconds, stored(hot, "hot-keys"))
     w = Window.partitionBy(key).orderBy("_cell")
-    rows = split._with_cell(df, "inner")
     before = F.sum("_rows").over(w) - F.col("_rows")
-    split.cells = (
-        rows.groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    split.cells = stored(
+        split._with_cell(df, "inner")
+        .groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_slot", F.floor(before / F.lit(limit)))
         .withColumn(SEGMENT, (F.dense_rank().over(
             Window.partitionBy(key).orderBy("_slot")) - 1).cast("int"))
-        .select(key, "_cell", SEGMENT, "_rows")
-    )
+        .select(key, "_cell", SEGMENT, "_rows"), "hot-key-segments")
     return split
 
 
-def with_sequence(df: DataFrame, split: KeySplit, order: list[str], *,
-                  stats: DataFrame | None = None) -> DataFrame:
+def with_sequence(df: DataFrame, split: KeySplit, order: list[str],
+                  values: tuple[str, ...] = (), *, stats: DataFrame | None = None,
+                  source: DataFrame | None = None) -> DataFrame:
     """Prepare ``df`` for ordered windows over ``split.partition_by``.
 
     Adds the carry rows (hot keys only) and joins per-key ``stats`` on the same
-    keys the window uses, so the join and the window share one shuffle. The
-    caller evaluates its windows with ``ordered`` and ends with ``drop_carry``.
+    keys the window uses, so the join and the window share one shuffle.
+    ``values`` are the columns whose previous value the windows look at; carry
+    rows hold these and the order, nothing else. They are taken from
+    ``source``, a cheaper table with the same rows, where there is one. The
+    caller ends with ``drop_carry``.
     """
     if split.hot is None:
         out = df
     else:
-        segments = split.segments()
-        last = (
-            split.hot_rows(df)
-            .join(F.broadcast(segments), [split.key, SEGMENT])
+        narrow = list(dict.fromkeys([split.key, *order, *values]))
+        latest = Window.partitionBy(split.key, SEGMENT).orderBy(*[F.desc(c) for c in order])
+        carry = (
+            split.hot_rows((df if source is None else source).select(*narrow))
+            .join(F.broadcast(split.segments()), [split.key, SEGMENT])
             # Only the last cell of a segment can hold its last row.
             .filter(F.col("_cell") == F.col("_last_cell"))
-            .withColumn("_rn", F.row_number().over(
-                Window.partitionBy(split.key, SEGMENT).orderBy(*[F.desc(c) for c in order])))
+            .withColumn("_rn", F.row_number().over(latest))
             .filter("_rn = 1")
+            .select(*narrow, (F.col(SEGMENT) + 1).alias(SEGMENT),
+                    F.lit(True).alias(CARRY), F.col("_through").alias(WEIGHT))
         )
-        carry = last.select(
-            *df.columns, (F.col(SEGMENT) + 1).alias(SEGMENT),
-            F.lit(True).alias(CARRY), F.col("_through").alias(WEIGHT))
         rows = split.assign(df).select(
             *df.columns, SEGMENT, F.lit(False).alias(CARRY),
             F.lit(1).cast("bigint").alias(WEIGHT))
-        out = rows.unionByName(carry)
+        out = rows.unionByName(carry, allowMissingColumns=True)
     if stats is not None:
-        keys = split.partition_by
-        out = out.join(split.spread(stats), keys, "left")
+        out = out.join(split.spread(stats), split.partition_by, "left")
     return out
 
 
@@ -188,7 +191,8 @@ def drop_carry(df: DataFrame, split: KeySplit) -> DataFrame:
 
 
 def trailing_counts(df: DataFrame, key: str, seconds: Column, horizons: dict[str, int],
-                    max_rows: int | None = MAX_ROWS) -> DataFrame:
+                    max_rows: int | None = MAX_ROWS,
+                    source: DataFrame | None = None) -> DataFrame:
     """Rows of the same key in the last N seconds, the current second included.
 
     A sliding RANGE frame re-reads its whole frame for every row, which is
@@ -199,28 +203,29 @@ def trailing_counts(df: DataFrame, key: str, seconds: Column, horizons: dict[str
     # Rows without a time are peers of each other and of nobody else; they
     # sort first, and leave before every real second.
     long_ago = F.lit(-(2 ** 62)).cast("bigint")
-    base = df.withColumn("_at", seconds)
     names = list(horizons)
     deltas = [f"_d{i}" for i in range(len(names))]
-    entries = base.select(
-        *df.columns, "_at", F.lit(True).alias("_row"),
-        *[F.lit(1).cast("bigint").alias(d) for d in deltas])
-    steps = entries
-    narrow = base.select(key, "_at")
-    for i, name in enumerate(names):
-        exits = narrow.select(
-            key, F.coalesce(F.col("_at") + horizons[name] + 1, long_ago).alias("_at"),
+    enter = [F.lit(1).cast("bigint").alias(d) for d in deltas]
+    narrow = (df if source is None else source).select(key, seconds.alias("_at"))
+    exits = [
+        narrow.select(
+            key, F.coalesce(F.col("_at") + length + 1, long_ago).alias("_at"),
             F.lit(False).alias("_row"),
-            *[F.lit(-1 if j == i else 0).cast("bigint").alias(d)
-              for j, d in enumerate(deltas)])
-        steps = steps.unionByName(exits, allowMissingColumns=True)
+            *[F.lit(-1 if j == i else 0).cast("bigint").alias(d) for j, d in enumerate(deltas)])
+        for i, length in enumerate(horizons.values())]
+
+    def with_exits(entries: DataFrame) -> DataFrame:
+        for leaving in exits:
+            entries = entries.unionByName(leaving, allowMissingColumns=True)
+        return entries
 
+    steps = with_exits(df.select(*df.columns, seconds.alias("_at"), F.lit(True).alias("_row"), *enter))
+    # The same steps without the other columns, to count and to sum up.
+    bare = with_exits(narrow.select(key, "_at", F.lit(True).alias("_row"), *enter))
     split = split_hot_keys(
-        steps.select(key, F.when(F.col("_at") > long_ago, F.col("_at")).alias("_at")),
-        key, F.col("_at"), max_rows)
+        bare, key, F.when(F.col("_at") > long_ago, F.col("_at")), max_rows)
     if split.hot is not None:
-        split = KeySplit(key, F.when(F.col("_at") > long_ago, F.col("_at")), split.hot, split.cells)
-        per_segment = split.hot_rows(steps).groupBy(key, SEGMENT).agg(
+        per_segment = split.hot_rows(bare).groupBy(key, SEGMENT).agg(
             *[F.sum(d).alias(d) for d in deltas])
         w = Window.partitionBy(key).orderBy(SEGMENT)
         carry = per_segment.select(

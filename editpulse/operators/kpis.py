@@ -7,11 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from editpulse.functions.scalars import percent, safe_round
+from editpulse.functions.scalars import epoch_seconds, percent, safe_round
 from editpulse.operators.aggregates import confusion_matrix, n_rows, total
-from editpulse.operators.topk import (
-    edits_by_hour, page_velocity, top_revert_pages, top_velocity_pages,
-)
+from editpulse.operators.topk import edits_by_hour, top_revert_pages, top_velocity_pages
 
 
 def dataset_kpis(df: DataFrame) -> DataFrame:
@@ -72,18 +70,19 @@ def top_users_with_bot_flag(df: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.desc("edits"), "user").limit(n))
 
 
-def controversy_matrix(features: DataFrame, n: int = 10) -> DataFrame:
+def controversy_matrix(features: DataFrame, n: int = 10, ts_col: str = "timestamp") -> DataFrame:
     """Half reverts, half velocity, each relative to the maximum, over the
-    ``n`` pages with most reverts. The window sees at most ``n`` rows."""
-    reverts = (features.groupBy("page_title")
-               .agg(total("is_revert_candidate").alias("reverts"))
-               .orderBy(F.desc("reverts"), "page_title").limit(n))
+    ``n`` pages with most reverts. One aggregation yields both measures; the
+    window sees at most ``n`` rows."""
+    days = (epoch_seconds(F.max(ts_col)) - epoch_seconds(F.min(ts_col))) / F.lit(86400.0)
+    pages = (features.groupBy("page_title")
+             .agg(total("is_revert_candidate").alias("reverts"),
+                  F.coalesce(F.try_divide(n_rows(), days), F.lit(0.0)).alias("edits_per_day"))
+             .orderBy(F.desc("reverts"), "page_title").limit(n))
     everything = Window.partitionBy()
     share = [F.coalesce(F.try_divide(F.col(c), F.max(c).over(everything)), F.lit(0.0)) * 0.5
              for c in ("reverts", "edits_per_day")]
-    speed = page_velocity(features, min_days=0.0).select("page_title", "edits_per_day")
-    return (reverts.join(speed, "page_title", "left").fillna(0, subset=["edits_per_day"])
-            .withColumn("score", share[0] + share[1]))
+    return pages.withColumn("score", share[0] + share[1])
 
 
 def cluster_fingerprint(profiles: DataFrame, columns: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ touched here; memory, off-heap and executor sizes belong to spark-submit.
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     # Wall-clock columns must not depend on where the driver runs.
@@ -40,3 +40,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="editpulse-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to scratch space and read it back: the work is done once,
+    later readers take only the columns they need, and a lost executor costs
+    no recomputation. The caller's clean-up of the folder applies."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -45,21 +45,22 @@ def _with_page(chunks: DataFrame) -> DataFrame:
     """
     split = ["_file", "_start"]
     opens = F.contains("value", F.lit("<page>"))
-    header = F.substring_index(F.substring_index("value", "<revision>", 1), "<page>", -1)
-    page = F.when(opens, F.from_xml(
-        F.concat(F.lit("<page>"), header, F.lit("</page>")), XML_PAGE))
-    headed = chunks.withColumn("_page", page)
-    # This branch reads page headers only; revisions are not parsed for it.
-    ends = headed.filter("_page is not null").groupBy(*split).agg(
-        F.max_by("_page", "_at").alias("_page"))
-    starts = headed.select(*split).distinct().join(ends, split, "left").select(
-        *split, F.last("_page", ignorenulls=True).over(
-            Window.partitionBy("_file").orderBy("_start")
-            .rowsBetween(Window.unboundedPreceding, -1)).alias("_inherited"))
+    header = F.when(opens, F.concat(
+        F.lit("<page>"),
+        F.substring_index(F.substring_index("value", "<revision>", 1), "<page>", -1),
+        F.lit("</page>")))
+    # One pass over the headers; revisions are not parsed for it.
+    ends = chunks.select(*split, "_at", header.alias("_header")).groupBy(*split).agg(
+        F.max_by("_header", F.when(F.col("_header").isNotNull(), F.col("_at"))).alias("_header"))
+    earlier = (Window.partitionBy("_file").orderBy("_start")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    starts = ends.select(*split, F.from_xml(
+        F.last("_header", ignorenulls=True).over(earlier), XML_PAGE).alias("_inherited"))
     revision = F.concat(F.lit("<revision>"), F.substring_index("value", "<revision>", -1),
                         F.lit("</revision>"))
-    rows = headed.filter(F.contains("value", F.lit("<revision>"))).select(
-        *split, "_at", "_page", F.from_xml(revision, XML_REVISION).alias("_rev"))
+    rows = chunks.filter(F.contains("value", F.lit("<revision>"))).select(
+        *split, "_at", F.from_xml(header, XML_PAGE).alias("_page"),
+        F.from_xml(revision, XML_REVISION).alias("_rev"))
     rev = F.col("_rev")
     # Texts are replaced by their lengths before anything is shuffled.
     narrow = rows.select(
