@@ -9,7 +9,7 @@ from editpulse.functions.scalars import (
     day_name, epoch_seconds, flag, has_text, parse_timestamp, text_length, time_parts, try_cast,
 )
 from editpulse.operators.keysplit import (
-    MAX_ROWS, KeySplit, drop_carry, previous, split_hot_keys, with_sequence,
+    MAX_ROWS, drop_carry, has_hot_keys, previous, split_hot_keys, with_sequence,
 )
 from editpulse.schemas import REQUIRED, SILVER_COLUMNS
 from editpulse.session import stored
@@ -52,14 +52,14 @@ def time_columns(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
 
 def size_change(df: DataFrame, *, page_col: str = "page_title", ts_col: str = "timestamp",
                 id_col: str = "revid", size_col: str = "size_bytes",
-                keep_prev: bool = False, split: KeySplit | None = None,
+                keep_prev: bool = False,
                 max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Size difference to the page's previous revision, in (time, id) order.
 
     The first revision counts in full. A NULL size gives a NULL change, and
     the revision after it counts in full again.
     """
-    split = split or split_hot_keys(df, page_col, epoch_seconds(ts_col), max_rows)
+    split = split_hot_keys(df, page_col, epoch_seconds(ts_col), max_rows)
     order = [ts_col, id_col]
     out = with_sequence(df, split, order, (size_col,)).withColumn(
         "prev_size", previous(size_col, split, order))
@@ -98,10 +98,7 @@ def silver(bronze: DataFrame, *, max_rows: int | None = MAX_ROWS) -> DataFrame:
     one narrow pass and no extra shuffle of whole rows. Where there are hot
     pages, the cleaned rows are read more than once and therefore stored.
     """
-    seconds = epoch_seconds(parse_timestamp("timestamp"))
-    found = split_hot_keys(require_not_null(bronze), "page_title", seconds, max_rows)
-    split = KeySplit(found.key, epoch_seconds("timestamp"), found.hot, found.cells)
     rows = clean_revisions(bronze)
-    if split.hot is not None:
-        rows = stored(rows, "clean")
-    return silver_projection(size_change(rows, split=split))
+    if not has_hot_keys(require_not_null(bronze), "page_title", max_rows):
+        return silver_projection(size_change(rows, max_rows=None))
+    return silver_projection(size_change(stored(rows, "clean"), max_rows=max_rows))

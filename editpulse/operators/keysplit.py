@@ -94,26 +94,41 @@ class KeySplit:
         )
 
 
-def split_hot_keys(df: DataFrame, key: str, seconds: Column,
-                   max_rows: int | None = MAX_ROWS) -> KeySplit:
-    """Find hot keys of ``df`` and cut them along ``seconds`` (whole seconds).
-
-    Runs one counting job whose map-side combine leaves one row per key and
-    map task. ``max_rows=None`` skips it for keys known to be small. Rows that
-    share one second are never separated.
-    """
-    if max_rows is None:
-        return KeySplit(key, seconds)
-    counts = (
+def _key_counts(df: DataFrame, key: str, seconds: Column) -> DataFrame:
+    return (
         df.select(F.col(key), seconds.alias("_sec"))
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_sec").alias("_first"),
              F.max("_sec").alias("_final"))
         .filter(F.col(key).isNotNull())
     )
+
+
+def hot_limit(counts: DataFrame, max_rows: int | None) -> int | None:
+    """Rows above which a key is hot, or None when no key is."""
+    if max_rows is None:
+        return None
     summary = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
     limit = max(max_rows, (summary.total or 0) // MAX_SEGMENTS)
-    if (summary.largest or 0) <= limit:
+    return limit if (summary.largest or 0) > limit else None
+
+
+def has_hot_keys(df: DataFrame, key: str, max_rows: int | None = MAX_ROWS) -> bool:
+    return hot_limit(_key_counts(df, key, F.lit(0)), max_rows) is not None
+
+
+def split_hot_keys(df: DataFrame, key: str, seconds: Column,
+                   max_rows: int | None = MAX_ROWS) -> KeySplit:
+    """Find hot keys of ``df`` and cut them along ``seconds`` (whole seconds).
+
+    Runs one counting job whose map-side combine leaves one row per key and
+    map task. ``max_rows=None`` skips it for keys known to be small. Rows that
+    share one second are never separated. The split fits exactly the rows it
+    was made from.
+    """
+    counts = _key_counts(df, key, seconds)
+    limit = hot_limit(counts, max_rows)
+    if limit is None:
         return KeySplit(key, seconds)
 
     n_cells = F.ceil(F.col("_rows") / F.lit(limit)) * CELLS_PER_SEGMENT
