@@ -78,7 +78,7 @@ def file_audit(spark: SparkSession, path: str, listed: DataFrame | None = None)
     them reported as empty.
     """
     whole = (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .filter(F.col("_metadata.file_size") <= MAX_WHOLE_FILE)
         .select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("_text"))
     )
