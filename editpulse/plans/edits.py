@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from editpulse.functions.scalars import flag
 from editpulse.operators.clean import comment_columns, size_change, time_columns
 from editpulse.operators.features import features
+from editpulse.operators.keysplit import has_hot_keys
 from editpulse.schemas import BRONZE
-from editpulse.session import apply_defaults
+from editpulse.session import apply_defaults, stored
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -63,11 +64,18 @@ def edits_of(events: DataFrame) -> DataFrame:
 
 
 def edits_with_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return size_change(edits(spark, sf_dir))
+    """Edits with their size changes; stored where hot pages make the ordered
+    pass expensive to repeat."""
+    rows = edits(spark, sf_dir)
+    if has_hot_keys(rows, "page_title"):
+        return stored(size_change(rows), "changed")
+    return size_change(rows, max_rows=None)
 
 
 def edit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features(edits_with_change(spark, sf_dir))
+    """All features. They look at their input several times, so it is stored
+    first, as the silver table is in the pipeline."""
+    return features(stored(edits_with_change(spark, sf_dir), "edits"))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

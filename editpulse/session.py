@@ -28,6 +28,14 @@ def apply_defaults(spark: SparkSession, shuffle_partitions: int | None = None) -
     return spark
 
 
+_scratch: list[str] = []
+
+
+def scratch_folders() -> list[str]:
+    """Scratch folders made so far; the caller removes them when done."""
+    return list(_scratch)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the checkpoint directory the cluster names.
 
@@ -39,13 +47,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="editpulse-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to scratch space and read it back: the work is done once,
     later readers take only the columns they need, and a lost executor costs
-    no recomputation. The caller's clean-up of the folder applies."""
+    no recomputation. See ``scratch_folders`` for cleaning up."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
