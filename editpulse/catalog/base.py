@@ -43,9 +43,9 @@ STATS = CHANGED + """, user_stats AS (
 
 FEATURES = STATS + """, sequenced AS (
   SELECT *,
-         cast(row_number() OVER (PARTITION BY usr ORDER BY ts, revid) AS int) AS user_edit_sequence,
+         row_number() OVER (PARTITION BY usr ORDER BY ts, revid) AS user_edit_sequence,
          coalesce(sec - lag(sec) OVER (PARTITION BY usr ORDER BY ts, revid), 0) AS time_since_last_edit_sec,
-         cast(row_number() OVER (PARTITION BY page_title ORDER BY ts, revid) AS int) AS page_edit_sequence,
+         row_number() OVER (PARTITION BY page_title ORDER BY ts, revid) AS page_edit_sequence,
          CASE WHEN size_change < 0 AND abs(size_change) >
               0.8::double * coalesce(abs(lag(size_change) OVER (PARTITION BY page_title ORDER BY ts, revid)), 0)
               THEN 1 ELSE 0 END AS is_revert_candidate

@@ -1,5 +1,7 @@
 """Ordered computations and the feature table."""
 
+from pyspark.sql import functions as F
+
 from editpulse.catalog.aggregates import changed, featured, plain
 from editpulse.catalog.base import CHANGED, EDITS, FEATURES, rounded, with_
 from editpulse.operators import aggregates as A
@@ -48,7 +50,60 @@ _USER_SEQ = ["user_edit_sequence", "time_since_last_edit_sec", "user_is_rapid_ed
 _PAGE_SEQ = ["page_edit_sequence", "is_revert_candidate"]
 _DERIVED = ["edit_efficiency", "user_specialization", "page_edit_density"]
 
+# One query per feature: only what this feature needs is computed.
+_ONE_BY_ONE = {
+    **{c: FE.edit_features for c in _EDIT},
+    **{c: FE.user_sequence for c in _USER_SEQ}, **{c: FE.page_sequence for c in _PAGE_SEQ},
+}
+
+
+def one_time(column):
+    return plain(lambda df: FE.temporal_features(df).select("revid", column))
+
+
+def one_change(column):
+    return changed(lambda df: df.select("revid", column))
+
+
+def one_trailing(column, seconds):
+    def run(spark, d):
+        return FE.trailing_edit_counts(E.edits(spark, d), horizons={column: seconds}).select("revid", column)
+    sql = with_(EDITS, f"""
+        SELECT revid, count(*) OVER (PARTITION BY usr ORDER BY sec
+          RANGE BETWEEN {seconds} PRECEDING AND CURRENT ROW) AS {column} FROM edits""")
+    return run, sql
+
+
+def efficiency(df):
+    return df.select("revid", F.coalesce(
+        F.col("size_change_abs") / (F.col("comment_length") + 1), F.lit(0.0)).alias("edit_efficiency"))
+
+
+def specialization(df):
+    return FE.join_user_stats(df).select(
+        "revid", (F.lit(1.0) / (F.col("user_pages_edited") + 1)).alias("user_specialization"))
+
+
+def density(df):
+    return FE.join_page_stats(df).select(
+        "revid", (F.col("page_total_edits") / (F.col("page_unique_editors") + 1)).alias("page_edit_density"))
+
+
 QUERIES = {
+    **{c: (selected(fn, [c]), pick([c])) for c, fn in _ONE_BY_ONE.items()},
+    **{c: (one_time(c), pick([c])) for c in _TIME},
+    "prev_size": (plain(lambda df: prev_size(df).select("revid", "prev_size")), with_(CHANGED, """
+        SELECT revid, lag(size_bytes) OVER (PARTITION BY page_title ORDER BY ts, revid) AS prev_size FROM changed""")),
+    "size_change_abs": (one_change("size_change_abs"), with_(CHANGED, "SELECT revid, size_change_abs FROM changed")),
+    "edits_last_hour": one_trailing("edits_last_hour", FE.HOUR),
+    "edits_last_7_days": one_trailing("edits_last_7_days", FE.WEEK),
+    "user_features": (selected(FE.join_user_stats, ["user", *_USER]), with_(FEATURES, f"""
+        SELECT revid, usr AS "user", {columns_sql(_USER)} FROM features""")),
+    "page_features": (selected(FE.join_page_stats, ["page_title", *_PAGE]), with_(FEATURES, f"""
+        SELECT revid, page_title, {columns_sql(_PAGE)} FROM features""")),
+    "edit_efficiency": (changed(efficiency), pick(["edit_efficiency"])),
+    "user_specialization": (changed(specialization), pick(["user_specialization"])),
+    "page_edit_density": (changed(density), pick(["page_edit_density"])),
     "size_change": (plain(prev_size), with_(CHANGED, """
         SELECT revid, lag(size_bytes) OVER (PARTITION BY page_title ORDER BY ts, revid) AS prev_size,
                size_change, size_change_abs FROM changed""")),

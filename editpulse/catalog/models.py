@@ -56,25 +56,44 @@ def silhouette(spark, d):
 
 
 def bot_scores(spark, d):
-    _, pred = M.train_bot_model(E.edit_features(spark, d))
+    _, pred = M.train_bot_model(E.feature_table(spark, d))
     return pred.select("revid", "is_bot", F.col("prediction").cast("int").alias("prediction"))
 
 
 def bot_metrics(spark, d):
-    model, pred = M.train_bot_model(E.edit_features(spark, d), trees=20, depth=5)
+    model, pred = M.train_bot_model(E.feature_table(spark, d), trees=20, depth=5)
     return rounded(EV.bot_kpis(model, pred)["metrics"])
 
 
 def top_features(spark, d):
-    model, _ = M.train_bot_model(E.edit_features(spark, d), trees=20, depth=5)
+    model, _ = M.train_bot_model(E.feature_table(spark, d), trees=20, depth=5)
     return rounded(EV.feature_importances(model))
 
 
 def edit_type_scores(spark, d):
-    _, _, pred = M.train_edit_type_model(E.edit_features(spark, d))
+    _, _, pred = M.train_edit_type_model(E.feature_table(spark, d))
     return rounded(EV.edit_type_kpis(pred)["metrics"])
 
 
+def edit_type_predictions(spark, d):
+    """Whole feature table scored with the label indexer and the model."""
+    features = E.feature_table(spark, d)
+    model, indexer, _ = M.train_edit_type_model(features, max_iter=20)
+    return M.score(model, M.edit_type_rows(features), indexer).select(
+        "revid", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
+def edit_type_test_rows(spark, d):
+    _, _, pred = M.train_edit_type_model(E.feature_table(spark, d), max_iter=20)
+    return pred.select("revid", F.col("label").cast("int").alias("label"),
+                       F.col("prediction").cast("int").alias("prediction"))
+
+
+def importances(spark, d):
+    model, _ = M.train_bot_model(E.feature_table(spark, d), trees=20, depth=5)
+    return rounded(EV.feature_importances(model, None))
+
+
 def clusters(spark, d):
     model, users = M.train_user_clusters(E.edits_with_change(spark, d))
     return rounded(EV.cluster_kpis(model, users)["profiles"])
@@ -168,6 +187,9 @@ QUERIES = {
     "train_bot_model": (bot_scores, None),
     "bot_kpis": (bot_metrics, None),
     "top_features": (top_features, None),
+    "feature_importances": (importances, None),
+    "train_edit_type_model": (edit_type_test_rows, None),
+    "score": (edit_type_predictions, None),
     "edit_type_kpis": (edit_type_scores, None),
     "train_user_clusters": (clusters, None),
     "cluster_kpis": (cluster_metrics, None),

@@ -2,17 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from editpulse.catalog.base import BRONZE, EDITS, SILVER, rounded, with_
+from editpulse.catalog.aggregates import PROFILES, segments
+from editpulse.catalog.base import BRONZE, CHANGED, EDITS, FEATURES, SILVER, rounded, with_
+from editpulse.catalog.features import columns_sql
 from editpulse.catalog.rows import _BRONZE_OUT, _SILVER_OUT
+from editpulse.functions.scalars import months_between_filter
+from editpulse.operators.aggregates import user_profiles
 from editpulse.operators.clean import silver
+from editpulse.operators.joins import join_cluster_labels
 from editpulse.operators.kpis import dataset_kpis
 from editpulse.plans import edits as E
-from editpulse.schemas import SILVER_COLUMNS
+from editpulse.schemas import ALL_FEATURES, SILVER_COLUMNS
 from editpulse.session import scratch_dir
 from editpulse.sources import bronze as B
 from editpulse.sources import payloads as P
 from editpulse.sources import tables as TB
-from editpulse.functions.scalars import months_between_filter
 
 
 def lines(spark, d):
@@ -112,7 +116,50 @@ def kpi_files(spark, d):
     return spark.read.schema(table.schema).json(f"{path}/dataset")
 
 
+def feature_table(spark, d):
+    path = scratch_dir(spark, "features")
+    TB.write_features(E.edit_features(spark, d), path)
+    return path
+
+
+def features_back(spark, d):
+    rows = TB.read_table(spark, feature_table(spark, d))
+    return rounded(rows.select("revid", "year", "month", *ALL_FEATURES))
+
+
+def features_by_month(spark, d):
+    """Folder pruning and two columns out of fifty."""
+    rows = TB.read_table(spark, feature_table(spark, d))
+    return rows.filter("year = 2024 and month = 1").groupBy("edit_magnitude", "is_bot").agg(
+        F.count("*").alias("edits"))
+
+
+def gold_table(spark, d):
+    """Edits with a given user segment, one folder per segment, read back."""
+    path = scratch_dir(spark, "gold")
+    changed = E.edits_with_change(spark, d)
+    TB.write_gold(join_cluster_labels(
+        changed.select("revid", "user", "hour"), segments(user_profiles(changed))), path)
+    return TB.read_table(spark, path).select("revid", "user", "hour", F.col("prediction").cast("int"))
+
+
+def view(spark, d):
+    name = TB.register_edits(E.edits(spark, d))
+    return spark.sql(f"""SELECT user, max(is_bot) AS is_bot, count(*) AS edits, count(DISTINCT page_title) AS pages
+                         FROM {name} WHERE has_comment = 1 GROUP BY user""")
+
+
 QUERIES = {
+    "write_features": (features_back, with_(FEATURES, f"""
+        SELECT revid, year, month, {columns_sql(ALL_FEATURES)} FROM features""")),
+    "read_features": (features_by_month, with_(FEATURES, """
+        SELECT edit_magnitude, is_bot, count(*) AS edits FROM features
+        WHERE year = 2024 AND month = 1 GROUP BY edit_magnitude, is_bot""")),
+    "write_gold": (gold_table, with_(PROFILES, """
+        SELECT revid, usr AS "user", hour, prediction FROM changed JOIN clustered USING (usr)""")),
+    "edits_view": (view, with_(CHANGED, """
+        SELECT usr AS "user", max(is_bot) AS is_bot, count(*) AS edits, count(DISTINCT page_title) AS pages
+        FROM changed WHERE has_comment = 1 GROUP BY usr""")),
     "bronze_lines": (lines, with_(BRONZE, "SELECT count(*) AS lines, count(*) AS objects FROM bronze")),
     "parse_bronze_json": (parsed, with_(BRONZE, f"""
         SELECT {_BRONZE_OUT} FROM bronze UNION ALL SELECT {_BRONZE_OUT} FROM bronze""")),

@@ -46,7 +46,7 @@ def append_counts(spark, d):
 
 
 def alerts(spark, d):
-    """Hourly windows, since the test edits are sparse."""
+    """Half-day windows, since the edits are sparse."""
     path = scratch_dir(spark, "alerts")
     SK.run_available(SK.update_writer(
         SE.editor_counts(live_edits(spark, d), window="12 hours"), f"{path}/rows", f"{path}/checkpoint"))
@@ -62,6 +62,28 @@ def replayed(spark, d):
     return rounded(spark.read.parquet(f"{path}/rows"))
 
 
+def replay_total(spark, d):
+    """Stored files fed into a stream, two per micro-batch."""
+    path = scratch_dir(spark, "replay")
+    write_batches(E.bronze(spark, d), f"{path}/files", batch_size=5_000)
+    SK.run_available(SK.append_writer(
+        SE.replay_source(spark, f"{path}/files", 2), f"{path}/rows", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/rows").agg(
+        F.count("*").alias("lines"), (F.sum(F.length("value")) > 0).alias("has_text"))
+
+
+def unpacked(spark, d):
+    """JSON text to a struct to columns."""
+    events = E.table(spark, d, "events")
+    return events.select("event_id", F.from_json("props", "k int").alias("data")).select("event_id", "data.*")
+
+
+def unique_editors(spark, d):
+    """Exact distinct editors per hour and page, without sets."""
+    edits = E.edits(spark, d).withColumnRenamed("size_bytes", "size")
+    return flat(SE.page_counts(edits, window="1 hour")).select("window_start", "page_title", "unique_editors")
+
+
 def sketched(spark, d):
     edits = E.edits(spark, d)
     return flat(SE.page_counts_approx(edits, window="1 day")).select(
@@ -77,6 +99,11 @@ _WINDOWS = EDITS + """, windows AS (
 _COUNTS = "window_start, page_title, edit_count, unique_editors"
 
 QUERIES = {
+    "replay_source": (replay_total, with_(BRONZE, "SELECT count(*) AS lines, true AS has_text FROM bronze")),
+    "json_to_struct": (unpacked, "SELECT event_id, cast(json_extract(props, '$.k') AS int) AS k FROM events"),
+    "tumbling_unique_editors": (unique_editors, with_(EDITS, """
+        SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, page_title,
+               count(DISTINCT usr) AS unique_editors FROM edits GROUP BY ALL""")),
     "tumbling_page_counts": (batch_counts, with_(_WINDOWS, f"SELECT {_COUNTS} FROM windows")),
     "stream_sink": (update_counts, with_(_WINDOWS, f"SELECT {_COUNTS}, size_swing FROM windows")),
     "stream_append": (append_counts, with_(_WINDOWS, f"""SELECT {_COUNTS}, size_swing FROM windows

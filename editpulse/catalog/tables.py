@@ -77,7 +77,7 @@ QUERIES = {
     "order_sequence": (lambda spark, d: rounded(order_sequence(spark, d)), """
         SELECT *, CASE WHEN time_since_last_edit_sec BETWEEN 1 AND 60 THEN 1 ELSE 0 END AS user_is_rapid_editor FROM (
           SELECT o_orderkey AS revid, o_custkey AS "user", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
-               cast(row_number() OVER w AS int) AS user_edit_sequence,
+               row_number() OVER w AS user_edit_sequence,
                coalesce(cast(floor(epoch(o_orderdate)) - lag(floor(epoch(o_orderdate))) OVER w AS bigint), 0)
                  AS time_since_last_edit_sec
           FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))"""),

@@ -57,7 +57,8 @@ def page_stats(df: DataFrame, *, user_col: str = "user", page_col: str = "page_t
         F.count_if(shrank).alias("page_deletions"),
     ).withColumn(
         "page_controversy_score",
-        F.col("page_total_edits") * F.col("page_unique_editors") / F.lit(1000.0))
+        # As doubles: the product of two large counts may not fit a BIGINT.
+        F.col("page_total_edits").cast("double") * F.col("page_unique_editors") / F.lit(1000.0))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -186,12 +186,12 @@ def with_sequence(df: DataFrame, split: KeySplit, order: list[str],
 
 
 def row_sequence(split: KeySplit, order: list[str]) -> Column:
-    """1, 2, 3 … within the key."""
+    """1, 2, 3 … within the key, as BIGINT: a hot key may pass two billion."""
     w = Window.partitionBy(*split.partition_by).orderBy(*order)
     if split.hot is None:
-        return F.row_number().over(w)
+        return F.row_number().over(w).cast("bigint")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum(WEIGHT).over(running).cast("int")
+    return F.sum(WEIGHT).over(running)
 
 
 def previous(column, split: KeySplit, order: list[str]) -> Column:

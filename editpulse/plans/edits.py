@@ -78,6 +78,11 @@ def edit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(stored(edits_with_change(spark, sf_dir), "edits"))
 
 
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored features, for work that reads them again and again."""
+    return stored(edit_features(spark, sf_dir), "features")
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records, with what raw data has: clicks were collected twice (the
     second time an hour late), some purchases lack a user and some sign-ups a

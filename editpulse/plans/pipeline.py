@@ -18,9 +18,16 @@ from editpulse.sources.bronze import read_bronze, write_batches
 
 
 def land(spark: SparkSession, incoming: DataFrame, bronze_path: str, *,
-         first: bool = False, batch_size: int = 100_000) -> None:
-    """Append revisions that are not in bronze yet."""
-    rows = incoming if first else new_revisions(incoming, read_bronze(spark, bronze_path))
+         known: DataFrame | None = None, first: bool = False, batch_size: int = 100_000) -> None:
+    """Append revisions that are not in bronze yet.
+
+    ``known`` may name a table with the ids collected so far, such as silver,
+    whose id column is far cheaper to read than the JSON files.
+    """
+    if first:
+        rows = incoming
+    else:
+        rows = new_revisions(incoming, read_bronze(spark, bronze_path) if known is None else known)
     write_batches(rows, bronze_path, batch_size=batch_size)
 
 
