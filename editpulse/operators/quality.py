@@ -15,7 +15,7 @@ MIN_BOT_RECORDS = 500
 COLLECTION_GOAL = 10_000_000
 
 # A file is read as one string only up to this size; a Spark string holds at
-# most 2 GiB. Larger files are judged line by line.
+# most 2 GiB. Larger files are judged by their lines and a streaming parser.
 MAX_WHOLE_FILE = 512 * 1024 * 1024
 
 _ARRAY = f"array<{BRONZE.simpleString()}>"
@@ -65,10 +65,16 @@ def audit_recommendations(audit: DataFrame, corrupt_files: int = 0) -> DataFrame
 
 
 def _json_ok(text) -> Column:
-    """Whether the text holds a JSON object or array (not a bare value)."""
+    """Whether the text is exactly one JSON object or array.
+
+    Parsers stop at the end of the first value, so the text is checked inside
+    an array and inside an object: what follows the value breaks one of them.
+    """
     t = F.trim(text)
+    inside_array = F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1
+    inside_object = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "v string").v.isNotNull()
     looks = t.startswith("{") | t.startswith("[")
-    return looks & F.try_parse_json(t).isNotNull()
+    return F.coalesce(looks & inside_array & inside_object, F.lit(False))
 
 
 def file_audit(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
@@ -90,17 +96,35 @@ def file_audit(spark: SparkSession, path: str, listed: DataFrame | None = None)
         .when(body.startswith("[") & _json_ok(body), "array_file")
         .when(F.exists(lines, _json_ok), "ndjson")
         .otherwise("corrupt").alias("format"))
-    large = (
-        spark.read.text(path)
-        .filter(F.col("_metadata.file_size") > MAX_WHOLE_FILE)
-        .select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("_line"))
-        .filter(F.col("_line") != "")
+    is_large = F.col("_metadata.file_size") > MAX_WHOLE_FILE
+    name = F.col("_metadata.file_path").alias("file")
+    at = F.struct(F.col("_start"), F.col("_at"))
+    line = F.regexp_replace("value", r"^\s+|\s+$", "")
+    by_line = (
+        spark.read.text(path).filter(is_large)
+        .select(name, line.alias("_line"), F.col("_metadata.file_block_start").alias("_start"),
+                F.monotonically_increasing_id().alias("_at"))
         .groupBy("file")
-        .agg(n_rows().alias("_lines"), F.max(_json_ok(F.col("_line"))).alias("_any"),
-             F.max(F.col("_line").startswith("[")).alias("_bracket"))
-        .select("file", F.when(F.col("_any") & F.col("_bracket") & (F.col("_lines") == 1), "array_file")
-                .when(F.col("_any"), "ndjson").otherwise("corrupt").alias("format"))
+        .agg(F.count_if(F.col("_line") != "").alias("_lines"),
+             F.max(_json_ok(F.col("_line"))).alias("_any"),
+             F.min_by(F.struct(F.substring("_line", 1, 1).alias("begin"), _json_ok(F.col("_line")).alias("ok")),
+                      F.when(F.col("_line") != "", at)).alias("_head"),
+             F.max_by(F.substring("_line", -1, 1), F.when(F.col("_line") != "", at)).alias("_tail"))
+    )
+    # The multi-line reader streams through a file and yields nothing for a
+    # malformed one. An array is whole if it also fills its file.
+    arrays = (
+        spark.read.schema("revid string").option("multiLine", True).option("mode", "DROPMALFORMED")
+        .json(path).filter(is_large).select(name).distinct().withColumn("_parsed", F.lit(True))
     )
+    fills = (F.col("_head.begin") == "[") & (F.col("_tail") == "]") & (
+        (F.col("_lines") == 1) | ~F.col("_head.ok"))
+    large = by_line.join(arrays, "file", "left").select(
+        "file",
+        F.when(F.col("_lines") == 0, "empty")
+        .when(fills & F.coalesce("_parsed", F.lit(False)), "array_file")
+        .when(F.col("_any"), "ndjson")
+        .otherwise("corrupt").alias("format"))
     out = small.unionByName(large)
     if listed is not None:
         out = listed.select("file").join(out, "file", "left").fillna("empty", subset=["format"])

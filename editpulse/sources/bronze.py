@@ -19,10 +19,24 @@ def parse_records(lines: DataFrame, *, value_col: str = "value",
                   schema: T.StructType = BRONZE, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records of each line: a JSON array, or one object. Bad lines yield none.
 
+    A parser stops at the end of the first value. Each line is therefore parsed
+    inside one more pair of brackets, which turns anything after the value into
+    an error, and must give exactly one value.
     ``keep`` names columns of ``lines`` to carry along, such as the file.
     """
-    record = F.explode(F.from_json(F.col(value_col), T.ArrayType(schema))).alias("_r")
-    return lines.select(*keep, record).filter("_r is not null").select(*keep, "_r.*")
+    text = F.btrim(F.col(value_col), F.lit(" \t\r\n"))
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    is_array = text.startswith("[") & text.endswith("]")
+    is_object = text.startswith("{") & text.endswith("}")
+    # Two steps, so that a line is parsed once although its result is used twice.
+    parsed = lines.select(
+        *keep,
+        F.when(is_array, F.from_json(wrapped, T.ArrayType(T.ArrayType(schema)))).alias("_arrays"),
+        F.when(is_object, F.from_json(wrapped, T.ArrayType(schema))).alias("_objects"))
+    records = F.when(F.size("_arrays") == 1, F.col("_arrays")[0]).when(
+        F.size("_objects") == 1, F.col("_objects"))
+    return (parsed.select(*keep, F.explode(records).alias("_r"))
+            .filter("_r is not null").select(*keep, "_r.*"))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

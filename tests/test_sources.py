@@ -54,7 +54,18 @@ def test_wrong_type_keeps_the_record(spark):
     assert row.revid == 1 and row["size"] is None
 
 
-@pytest.mark.parametrize("text", ["", "null", "5", "[{\"revid\":", "not json"])
+def test_wrong_type_inside_an_array(spark):
+    lines = spark.createDataFrame(
+        [(json.dumps([record(1, size="big"), record(2), record(3, tags="t")]),)], "value string")
+    rows = {r.revid: r for r in B.parse_records(lines).collect()}
+    assert set(rows) == {1, 2, 3}
+    assert rows[1]["size"] is None and rows[2]["size"] == 10 and rows[3].tags is None
+
+
+@pytest.mark.parametrize("text", [
+    "", "null", "5", "[{\"revid\":", "not json", "[]", "[", '{"revid": 1},', '{"revid": 1}]',
+    '{"revid": 1} rest', '{"revid": 1}{"revid": 2}', '{"revid": 1},{"revid": 2}',
+    '[{"revid": 1}],[{"revid": 2}]', '[{"revid": 1}] [{"revid": 2}]'])
 def test_bad_lines_yield_nothing(spark, text):
     lines = spark.createDataFrame([(text,)], "value string")
     assert B.parse_records(lines).count() == 0
@@ -72,14 +83,20 @@ def test_file_audit(spark, files):
     assert [r.format for r in with_zero.collect()] == ["empty"]
 
 
-def test_large_files_are_judged_by_line(spark, files, monkeypatch):
-    small = Q.file_format_counts(Q.file_audit(spark, f"{files}/*s.json")).collect()
-    monkeypatch.setattr(Q, "MAX_WHOLE_FILE", 1)
-    found = {r.file.rsplit("/", 1)[-1]: r.format
-             for r in Q.file_audit(spark, f"{files}/*.json").collect()}
-    assert found["lines.json"] == "ndjson" and found["array.json"] == "array_file"
-    assert found["binary.json"] == "corrupt" and found["cut.json"] == "corrupt"
-    assert small
+def test_large_files_get_the_same_verdict(spark, files, monkeypatch):
+    def verdicts():
+        return {r.file.rsplit("/", 1)[-1]: r.format
+                for r in Q.file_audit(spark, f"{files}/*.json").collect()}
+
+    (files / "garbage.json").write_text(json.dumps([record(1)], indent=1) + "\nrest")
+    (files / "arrays.json").write_text("[{\"revid\": 1}]\n[{\"revid\": 2}]")
+    (files / "prettyobject.json").write_text(json.dumps(record(1), indent=1))
+    whole = verdicts()
+    assert whole["garbage.json"] == "corrupt" and whole["arrays.json"] == "ndjson"
+    monkeypatch.setattr(Q, "MAX_WHOLE_FILE", 0)
+    assert verdicts() == whole
+    assert {r.format: r.files for r in Q.file_format_counts(
+        Q.file_audit(spark, f"{files}/*.json")).collect()}["array_file"] == 2
 
 
 def test_record_audit_and_advice(spark):
