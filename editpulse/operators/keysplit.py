@@ -51,16 +51,14 @@ class KeySplit:
         if self.hot is None:
             return df
         return (
-            self._with_cell(df, "left")
-            .join(F.broadcast(self.cells), [self.key, "_cell"], "left")
+            _lookup(self._with_cell(df, "left"), self.cells, [self.key, "_cell"], "left")
             .withColumn(SEGMENT, F.coalesce(F.col(SEGMENT), F.lit(0)))
             .drop("_cell", "_first", "_width")
         )
 
     def hot_rows(self, df: DataFrame) -> DataFrame:
         """Only rows of hot keys, with their segment and cell."""
-        return self._with_cell(df, "inner").join(
-            F.broadcast(self.cells), [self.key, "_cell"])
+        return _lookup(self._with_cell(df, "inner"), self.cells, [self.key, "_cell"], "inner")
 
     def segments(self) -> DataFrame:
         """One row per hot (key, segment): row count, rows before, last cell."""
@@ -76,7 +74,7 @@ class KeySplit:
             return stats
         last = self.cells.groupBy(self.key).agg(F.max(SEGMENT).alias("_last"))
         return (
-            stats.join(F.broadcast(last), self.key, "left")
+            _lookup(stats, last, [self.key], "left")
             .withColumn(SEGMENT, F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))))
             .drop("_last")
         )
@@ -87,20 +85,27 @@ class KeySplit:
             F.col("_first").isNotNull(),
             F.coalesce(F.expr("(_sec - _first) div _width"), F.lit(0).cast("bigint")))
         return (
-            df.join(F.broadcast(self.hot), self.key, how)
+            _lookup(df, self.hot, [self.key], how)
             .withColumn("_sec", self.seconds)
             .withColumn("_cell", cell)
             .drop("_sec")
         )
 
 
+def _lookup(df: DataFrame, table: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join with one of the bounded lookup tables; a NULL key matches itself,
+    as it does in a window partition."""
+    other = F.broadcast(table.withColumnsRenamed({c: f"_on_{c}" for c in on}))
+    same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return df.join(other, same, how).drop(*[f"_on_{c}" for c in on])
+
+
 def _key_counts(df: DataFrame, key: str, seconds: Column) -> DataFrame:
     return (
         df.select(F.col(key), seconds.alias("_sec"))
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_sec").alias("_first"),
              F.max("_sec").alias("_final"))
-        .filter(F.col(key).isNotNull())
     )
 
 
@@ -167,8 +172,8 @@ def with_sequence(df: DataFrame, split: KeySplit, order: list[str],
         narrow = list(dict.fromkeys([split.key, *order, *values]))
         latest = Window.partitionBy(split.key, SEGMENT).orderBy(*[F.desc(c) for c in order])
         carry = (
-            split.hot_rows((df if source is None else source).select(*narrow))
-            .join(F.broadcast(split.segments()), [split.key, SEGMENT])
+            _lookup(split.hot_rows((df if source is None else source).select(*narrow)),
+                    split.segments(), [split.key, SEGMENT], "inner")
             # Only the last cell of a segment can hold its last row.
             .filter(F.col("_cell") == F.col("_last_cell"))
             .withColumn("_rn", F.row_number().over(latest))

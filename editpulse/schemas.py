@@ -81,6 +81,7 @@ XML_REVISION = T.StructType([
     ])),
 ])
 
+# Silver and feature column names.
 SILVER_COLUMNS = [
     "page_title", "page_id", "page_watchers", "revid", "parentid", "timestamp",
     "year", "month", "day", "hour", "day_of_week", "day_name",

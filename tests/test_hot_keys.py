@@ -56,6 +56,16 @@ def test_trailing_counts_equal_range_frames(skewed, limit):
     assert found.count() == skewed.count()
 
 
+def test_a_hot_null_key_is_split_too(skewed):
+    rows = C.size_change(skewed.withColumns({
+        "page_title": F.when(F.col("page_title") != "hot", F.col("page_title")),
+        "user": F.when(F.col("user") != "robot", F.col("user"))}), max_rows=None)
+    split = split_hot_keys(rows, "user", epoch_seconds("timestamp"), 100)
+    assert [r.user for r in split.hot.collect()] == [None]
+    assert same(FE.features(rows, max_rows=None), FE.features(rows, max_rows=100))
+    assert same(FE.trailing_edit_counts(rows, max_rows=None), FE.trailing_edit_counts(rows, max_rows=300))
+
+
 def test_segments_stay_near_the_limit(skewed):
     split = split_hot_keys(skewed.filter("timestamp is not null"), "page_title",
                            epoch_seconds("timestamp"), 100)
@@ -71,6 +81,7 @@ def test_ordinary_keys_get_an_ordinary_window(skewed):
     assert "hashpartitioning(page_title" in plan and "_segment" not in plan
     hot = plan_of(C.size_change(skewed, max_rows=100))
     assert "hashpartitioning(page_title" in hot and "_segment" in hot
+    assert "NestedLoop" not in hot and "Cartesian" not in hot
 
 
 def test_hot_silver(spark, sf_dir):

@@ -129,7 +129,7 @@ def test_api_payload(spark):
             rows[1].tags, rows[1].collected_at) == ("Unknown", True, True, 0, 8, ["m"], "now")
 
 
-XML = """<mediawiki xmlns="http://example.org/export/">
+XML = """<dump xmlns="http://example.org/export/">
   <siteinfo><sitename>x</sitename></siteinfo>
   <page>
     <title>Tom &amp; Jerry</title>
@@ -154,7 +154,7 @@ XML = """<mediawiki xmlns="http://example.org/export/">
     <title>Bad id</title><ns>0</ns><id>8</id>
     <revision><id>x1</id><contributor/><text>hello</text></revision>
   </page>
-</mediawiki>
+</dump>
 """
 
 
