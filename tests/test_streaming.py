@@ -1,6 +1,7 @@
 """Streams against their batch twins."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,10 @@ def event(page, user, time, size=10):
 
 def write(folder, number, *events):
     folder.mkdir(exist_ok=True)
-    (folder / f"{number:03d}.json").write_text("\n".join(events) + "\n")
+    path = folder / f"{number:03d}.json"
+    path.write_text("\n".join(events) + "\n")
+    # The file source takes files by age; files of one instant have no order.
+    os.utime(path, (1_700_000_000 + number * 10,) * 2)
 
 
 def replay(spark, folder):
