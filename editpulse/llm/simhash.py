@@ -69,15 +69,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return X.map_batches(rows, run, "doc_id bigint, fp bigint")
 
 
+def _dealt(prints: DataFrame) -> DataFrame:
+    """Spread over all tasks, as every row becomes dozens or hundreds. Spark's
+    size estimates do not see that, hence also the merge hints below."""
+    return prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
 def _with_neighbours(distinct: DataFrame) -> DataFrame:
     """Fingerprints that share a half with another up to one bit."""
-    halves = distinct.select("fp", F.explode(F.array(
+    halves = _dealt(distinct).select("fp", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("fp").bitwiseAND(F.lit(HALF_MASK)).alias("half")),
         F.struct(F.lit(1).alias("side"), F.shiftrightunsigned("fp", 32).alias("half")))).alias("x")).select("fp", "x.side", "x.half")
     homes = halves.groupBy("side", "half").agg(F.count("*").alias("n"))
     flips = F.array(*[F.lit(v) for v in (0, *(1 << i for i in range(32)))])
     probes = halves.select("fp", "side", F.explode(flips).alias("flip"), "half").select("fp", "side", "flip", F.col("half").bitwiseXOR(F.col("flip")).alias("half"))
-    return probes.join(homes, ["side", "half"]).filter("flip <> 0 OR n > 1").select("fp").distinct()
+    return probes.join(homes.hint("merge"), ["side", "half"]).filter("flip <> 0 OR n > 1").select("fp").distinct()
 
 
 def _ball(fp: Column) -> Column:
@@ -91,10 +97,10 @@ def _ball(fp: Column) -> Column:
 
 def links(distinct: DataFrame) -> DataFrame:
     """Verified ties (a, b) whose components are those of all links."""
-    near = _with_neighbours(distinct)
-    points = near.select("fp", F.explode(_ball(F.col("fp"))).alias("p")).select("fp", "p.v", "p.far")
+    near = stored(_with_neighbours(distinct), "simhash-near")
+    points = _dealt(near).select("fp", F.explode(_ball(F.col("fp"))).alias("p")).select("fp", "p.v", "p.far")
     hubs = points.filter("NOT far").groupBy("v").agg(F.min("fp").alias("hub"), F.count("*").alias("n"))
-    ties = points.join(hubs, "v").filter("fp <> hub").select(F.greatest("fp", "hub").alias("a"), F.least("fp", "hub").alias("b")).distinct()
+    ties = points.join(hubs.hint("merge"), "v").filter("fp <> hub").select(F.greatest("fp", "hub").alias("a"), F.least("fp", "hub").alias("b")).distinct()
     return ties.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
 
 
