@@ -131,14 +131,16 @@ def _feature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), N_FEATURES).cast(pa.list_(pa.float32()))], names=["x"])
 
 
-def _sample(texts: DataFrame, n: int) -> np.ndarray:
+def _sample(texts: DataFrame, n: int, marks: DataFrame | None = None) -> np.ndarray:
     """Features of the ``n`` different texts of least hash (all, if there are
-    fewer). Copies count once; only hashes are sorted."""
+    fewer), of the documents in ``marks`` if given. Copies count once; only ids
+    and hashes are joined and sorted, and texts move only below the cut."""
     hashed = texts.withColumn("h", F.xxhash64("text", F.lit(9)))
-    cut = hashed.select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    among = lambda df: df if marks is None else df.join(marks.select("doc_id"), "doc_id", "left_semi")
+    cut = among(hashed.select("doc_id", "h")).select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
     if cut is None:
         return np.zeros((0, N_FEATURES))
-    chosen = hashed.filter(F.col("h") <= cut).groupBy("h").agg(F.min("text").alias("text")).select("text")
+    chosen = among(hashed.filter(F.col("h") <= cut)).groupBy("h").agg(F.min("text").alias("text")).select("text")
     rows = X.map_batches(chosen, _feature_rows, "x array<float>").toArrow().column("x")
     found = np.array(rows.to_pylist(), np.float64).reshape(-1, N_FEATURES)
     return found[np.lexsort(found.T)]  # tasks end in any order
@@ -152,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     model = Model(prior)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     if n.get(1):
-        x = _sample(texts.join(marks.filter("quality = 1"), "doc_id", "left_semi"), positives)
+        x = _sample(texts, positives, marks.filter("quality = 1"))
         if len(x):
             model.fit(x, _sample(texts, unlabelled))
     return model
