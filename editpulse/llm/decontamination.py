@@ -112,37 +112,37 @@ def scan(docs: DataFrame, items: DataFrame, keep: list[str], width: int = WIDTH,
     spark = docs.sparkSession
     pairs = item_windows(items, width, item_id_col, item_text_col)
     blocks = max(1, -(-pairs.count() // block_pairs))
-    keep_names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, keep_names)])
-    types = dict(zip(keep_names, [docs.select(F.col(f"`{c}`")).schema[0].dataType.simpleString() for c in keep]))
-    schema = "t string, " + "".join(f"{k} {types[k]}, " for k in keep_names) + SCANNED
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)], *[F.col(f"`{text_col}`").alias("t")] * (text_col not in keep))
+    at = keep.index(text_col) if text_col in keep else len(keep)  # the text travels once
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema)
     block = F.pmod(F.xxhash64("window"), F.lit(blocks))
     for b in range(blocks):
         held = spark.sparkContext.broadcast(WindowSet(pairs.filter(block == b).select("item", "window", "n").collect()))
-        rows = X.map_batches(rows, _pass(held, b == 0, b == blocks - 1, text_col in keep), schema)
-    result = rows.select(*[F.col(k).alias(c) for c, k in zip(keep, keep_names)],
-                         F.struct("n_words", "n_hit", "items", "hits").alias(X.fresh(docs, "scan")))
-    return result
+        drop = b == blocks - 1 and text_col not in keep
+        rows = X.map_batches(rows, _pass(held, b == 0, drop, at), schema + SCANNED)
+    return rows.select(*[F.col(k).alias(c) for c, k in zip(keep, names)],
+                       F.struct("n_words", "n_hit", "items", "hits").alias(X.fresh(docs, "scan")))
 
 
-def _pass(held, opening: bool, closing: bool, text_kept: bool):
+def _pass(held, opening: bool, drop: bool, at: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = batch.column(0)
-        data, offsets = X.column_bytes(column)
-        old = [batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()] if not opening else None
+        kept = list(batch.columns if opening else batch.columns[:-4])
+        data, offsets = X.column_bytes(kept[at])
+        old = None if opening else (batch.column("items").to_pylist(), batch.column("hits").to_pylist())
         n_words, n_hit, items, hits = [], [], [], []
         for lo, hi in X.chunks(offsets):
             known = old[0][lo:hi] if old else [[]] * (hi - lo)
             before = old[1][lo:hi] if old else [[]] * (hi - lo)
             a, b, c, d = _scan_chunk(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], held.value, before, known)
             n_words.append(a), n_hit.append(b), items.extend(c), hits.extend(d)
-        kept = batch.columns[1:] if opening else batch.columns[1:-4]
-        names = batch.schema.names[1 : 1 + len(kept)]
-        first = pa.nulls(batch.num_rows, pa.string()) if closing else column
+        names = batch.schema.names[: len(kept)]
+        if drop:
+            kept[at] = pa.nulls(batch.num_rows, pa.string())
         return pa.RecordBatch.from_arrays(
-            [first, *kept, pa.array(np.concatenate(n_words)), pa.array(np.concatenate(n_hit)),
+            [*kept, pa.array(np.concatenate(n_words)), pa.array(np.concatenate(n_hit)),
              pa.array(items, pa.list_(pa.string())), pa.array(hits, pa.list_(pa.int64()))],
-            names=["t", *names, "n_words", "n_hit", "items", "hits"])
+            names=[*names, "n_words", "n_hit", "items", "hits"])
     return run
 
 

@@ -25,10 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse.llm import text as X
+from editpulse.session import stored
 
 WIDTHS, FILTERS, EMBEDDING, WINDOW = (2, 3, 4), 12, 8, 256
 PER_LANGUAGE, WINDOWS = 300, 4
 UNKNOWN = "und"
+#: Rows (language, hash) of the sample that may be broadcast; beyond, a join.
+BROADCAST_SAMPLE = 100_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -122,8 +125,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     piece = lambda i: F.substring("text", F.greatest(F.lit(1), (i * n / windows).cast("int") + 1), F.lit(WINDOW))
     hashed = rows.withColumn("h", F.xxhash64("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    cuts = hashed.select("lang", "h").distinct().withColumn("r", rank).filter(F.col("r") <= per_language).groupBy("lang").agg(F.max("h").alias("cut_h"))
-    sample = hashed.join(cuts, "lang").filter("h <= cut_h").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", F.concat(*[
+    picked = stored(hashed.select("lang", "h").distinct().withColumn("r", rank).filter(F.col("r") <= per_language).select("lang", "h"), "language-sample")
+    few = picked.count() <= BROADCAST_SAMPLE
+    sample = hashed.join(F.broadcast(picked) if few else picked, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", F.concat(*[
         x for i in range(windows) for x in (F.rpad(F.translate(piece(F.lit(i)), "\x00", " "), WINDOW, " "), F.lit("\x00"))]).alias("cut"))
     found = sorted((r.lang, r.cut) for r in sample.collect())
     languages = sorted({lang for lang, _ in found})
@@ -161,17 +165,19 @@ def predict(docs: DataFrame, net: ByteNet, text_col: str = "text", keep: list[st
     keep = docs.columns if keep is None else keep
     held = docs.sparkSession.sparkContext.broadcast((net, net.tables()))
     names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)])
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[1:]) + "lang_pred string, score double"
+    at = keep.index(text_col) if text_col in keep else len(keep)  # the text travels once
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)], *[F.col(f"`{text_col}`").alias("t")] * (at == len(keep)))
+    n = len(keep)
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[:n]) + "lang_pred string, score double"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column, (model, tables) = batch.column(0), held.value
+        column, (model, tables) = batch.column(at), held.value
         _, offsets = X.column_bytes(column)
         out = []
         for lo, hi in X.chunks(offsets):
             out.extend(_predict(model, tables, column.slice(lo, hi - lo).to_pylist()))
-        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
-                                          names=[*batch.schema.names[1:], "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
+                                          names=[*names, "lang_pred", "score"])
     done = X.map_batches(rows, run, schema)
     base = docs.select(*[f"`{c}`" for c in keep])
     return done.select(*[F.col(k).alias(c) for c, k in zip(keep, names)],

@@ -7,6 +7,7 @@ ASCII) act on single bytes, so bytes give the same words as code points.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ TO_LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 WORD_BYTE = np.array([48 <= i <= 57 or 97 <= i <= 122 or i >= 128 for i in range(256)])
 #: Bytes of text handled at once inside a task; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
+#: Limits of an Arrow batch between Spark and a Python task.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -138,7 +141,14 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One output batch for each input batch; rows never leave their task."""
+    """One output batch for each input batch; rows never leave their task.
+    Batches are held to BATCH_BYTES (unless the session already asks for less),
+    as texts are long and every task holds a few batches at once."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = int(re.match(r"-?\d+", df.sparkSession.conf.get(key))[0])
+        if now <= 0 or now > most:
+            df.sparkSession.conf.set(key, str(most))
+
     def run(batches):
         for batch in batches:
             out = fn(batch)
