@@ -61,12 +61,12 @@ def bot_scores(spark, d):
 
 
 def bot_metrics(spark, d):
-    model, pred = M.train_bot_model(E.feature_table(spark, d), trees=20, depth=5)
+    model, pred = M.train_bot_model(E.feature_table(spark, d))
     return rounded(EV.bot_kpis(model, pred)["metrics"])
 
 
 def top_features(spark, d):
-    model, _ = M.train_bot_model(E.feature_table(spark, d), trees=20, depth=5)
+    model, _ = M.train_bot_model(E.feature_table(spark, d))
     return rounded(EV.feature_importances(model))
 
 
@@ -78,19 +78,19 @@ def edit_type_scores(spark, d):
 def edit_type_predictions(spark, d):
     """Whole feature table scored with the label indexer and the model."""
     features = E.feature_table(spark, d)
-    model, indexer, _ = M.train_edit_type_model(features, max_iter=20)
+    model, indexer, _ = M.train_edit_type_model(features)
     return M.score(model, M.edit_type_rows(features), indexer).select(
         "revid", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
 
 
 def edit_type_test_rows(spark, d):
-    _, _, pred = M.train_edit_type_model(E.feature_table(spark, d), max_iter=20)
+    _, _, pred = M.train_edit_type_model(E.feature_table(spark, d))
     return pred.select("revid", F.col("label").cast("int").alias("label"),
                        F.col("prediction").cast("int").alias("prediction"))
 
 
 def importances(spark, d):
-    model, _ = M.train_bot_model(E.feature_table(spark, d), trees=20, depth=5)
+    model, _ = M.train_bot_model(E.feature_table(spark, d))
     return rounded(EV.feature_importances(model, None))
 
 

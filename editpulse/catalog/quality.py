@@ -6,7 +6,7 @@ from editpulse.catalog.base import BRONZE, SILVER, rounded, with_
 from editpulse.operators import quality as Q
 from editpulse.operators.clean import silver
 from editpulse.plans import edits as E
-from editpulse.plans.reports import bench_cache, bench_partitions, quality_report
+from editpulse.plans.reports import quality_report
 from editpulse.session import scratch_dir
 from editpulse.sources.bronze import parse_records, read_lines, write_batches
 
@@ -50,14 +50,6 @@ def report(spark, d):
     return figures.unionByName(kept.unpivot([], ["raw_count", "removed"], "figure", "value"))
 
 
-def partition_timings(spark, d):
-    return bench_partitions(E.edits(spark, d))
-
-
-def cache_timings(spark, d):
-    return bench_cache(E.edits(spark, d))
-
-
 _VALID = "page_title IS NOT NULL AND revid IS NOT NULL AND usr IS NOT NULL AND stamp IS NOT NULL"
 _AUDIT = f"""SELECT count(*) AS total_records, count(*) FILTER ({_VALID}) AS valid_records,
   count(DISTINCT page_title) FILTER ({_VALID}) AS unique_pages, count(DISTINCT usr) FILTER ({_VALID}) AS unique_users,
@@ -93,6 +85,4 @@ QUERIES = {
         UNION ALL SELECT 'unique_users', count(DISTINCT usr) FROM silver
         UNION ALL SELECT 'raw_count', count(*) FROM bronze
         UNION ALL SELECT 'removed', (SELECT count(*) FROM bronze) - (SELECT count(*) FROM silver)""")),
-    "bench_partitions": (partition_timings, None),
-    "bench_cache": (cache_timings, None),
 }

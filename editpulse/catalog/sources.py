@@ -77,7 +77,7 @@ def xml(spark, d):
         "<revision><id>%d</id><parentid>%d</parentid><timestamp>%s</timestamp>"
         "<contributor>%s</contributor><text/></revision></page>",
         "page_title", "hour", "revid", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        who, minor, "comment", "size_bytes", F.repeat(F.lit("x"), F.col("hour")),
+        who, minor, "comment", "size_bytes", F.concat(F.lit(" \n"), F.repeat(F.lit("x"), F.col("hour")), F.lit("\n\t ")),
         -F.col("revid") - 1, "revid", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"), who)
     E.edits(spark, d).select(text.alias("value")).write.text(path)
     return rounded(P.read_xml_dump(spark, f"{path}/part-*"))
@@ -174,7 +174,7 @@ QUERIES = {
         SELECT page_title, cast(hour AS varchar) AS page_id, 0 AS page_watchers, revid, cast(0 AS bigint) AS parentid,
                strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp", usr AS "user",
                CASE WHEN is_anon = 1 THEN 0 ELSE revid END AS userid, is_anon = 1 AS anon,
-               cast(hour AS bigint) AS size, rtrim(comment) AS comment, is_minor = 1 AS minor, false AS bot,
+               cast(hour + 5 AS bigint) AS size, rtrim(comment) AS comment, is_minor = 1 AS minor, false AS bot,
                '' AS tags, cast(NULL AS varchar) AS collected_at FROM edits
         UNION ALL
         SELECT page_title, cast(hour AS varchar), 0, -revid - 1, revid, strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), usr,

@@ -45,9 +45,9 @@ def multiclass_metrics(pred: DataFrame, label: str = "label",
 
 
 def binary_areas(pred: DataFrame, label: str, score: str = "rawPrediction",
-                 bins: int = 1000) -> tuple[float, float]:
-    """Areas under the ROC and precision-recall curves. ``bins`` bounds the
-    points of the curve that reach the driver."""
+                 bins: int = 0) -> tuple[float, float]:
+    """Areas under the ROC and precision-recall curves, exact over all distinct
+    scores (``bins`` = 0); the curves are summed on the executors."""
     def area(metric):
         return BinaryClassificationEvaluator(
             labelCol=label, rawPredictionCol=score, metricName=metric, numBins=bins,
@@ -56,10 +56,11 @@ def binary_areas(pred: DataFrame, label: str, score: str = "rawPrediction",
     return area("areaUnderROC"), area("areaUnderPR")
 
 
-def silhouette(clustered: DataFrame, features: str = "features",
+def silhouette(clustered: DataFrame, features: str = "scaledFeatures",
                prediction: str = "prediction") -> float:
+    """In the space the model was trained in: scaled, where that is given."""
     if features not in clustered.columns:
-        features = "scaledFeatures"
+        features = "features"
     return ClusteringEvaluator(
         featuresCol=features, predictionCol=prediction, metricName="silhouette",
     ).evaluate(clustered)

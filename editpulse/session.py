@@ -4,7 +4,6 @@ The caller owns the session. Only settings that can change at run time are
 touched here; memory, off-heap and executor sizes belong to spark-submit.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,16 +36,11 @@ def scratch_folders() -> list[str]:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the checkpoint directory the cluster names.
-
-    Only a local master may fall back to a temporary folder of this machine;
-    on a cluster the setting is required, because executors must share it.
-    """
+    """A new folder under the checkpoint directory the cluster names, or else
+    under the warehouse: both are shared by driver and executors."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="editpulse-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
     _scratch.append(path)
     return path

@@ -36,6 +36,11 @@ def parse_api_responses(responses: DataFrame, *, value_col: str = "value",
     ).to(BRONZE)
 
 
+def _strip(text):
+    """Without white space of any kind at both ends."""
+    return F.trim(text, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def _with_page(chunks: DataFrame) -> DataFrame:
     """Give every revision chunk the page it belongs to.
 
@@ -60,12 +65,14 @@ def _with_page(chunks: DataFrame) -> DataFrame:
                         F.lit("</revision>"))
     rows = chunks.filter(F.contains("value", F.lit("<revision>"))).select(
         *split, "_at", F.from_xml(header, XML_PAGE).alias("_page"),
-        F.from_xml(revision, XML_REVISION).alias("_rev"))
+        F.from_xml(revision, XML_REVISION, {"ignoreSurroundingSpaces": "false"}).alias("_rev"),
+        # The parser gives nothing for a text of white space only.
+        F.length(F.regexp_extract(revision, r"<text[^>]*>(\s*)</text>", 1)).alias("_blank"))
     rev = F.col("_rev")
     # Texts are replaced by their lengths before anything is shuffled.
     narrow = rows.select(
         *split, "_at", "_page", rev.dropFields("text").alias("_rev"),
-        F.length(F.trim(rev.text["_VALUE"])).alias("_chars"), rev.text["_bytes"].alias("_bytes"))
+        F.coalesce(F.length(rev.text["_VALUE"]), "_blank").alias("_chars"), rev.text["_bytes"].alias("_bytes"))
     carried = F.last("_page", ignorenulls=True).over(
         Window.partitionBy(*split).orderBy("_at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -88,19 +95,19 @@ def read_xml_dump(spark: SparkSession, path: str, *, byte_size: bool = False) ->
     page, rev = F.col("_page"), F.col("_rev")
     who = rev.contributor
     size = F.coalesce("_bytes", "_chars") if byte_size else F.col("_chars")
-    name = F.trim(F.coalesce(who.username, who.ip))
+    name = _strip(F.coalesce(who.username, who.ip))
     return _with_page(chunks).select(
-        F.trim(page.title).alias("page_title"),
-        F.coalesce(F.trim(page.id).try_cast("bigint"), F.lit(0)).cast("string").alias("page_id"),
+        _strip(page.title).alias("page_title"),
+        F.coalesce(_strip(page.id).try_cast("bigint"), F.lit(0)).cast("string").alias("page_id"),
         F.lit(0).alias("page_watchers"),
-        F.trim(rev.id).try_cast("bigint").alias("revid"),
-        F.coalesce(F.trim(rev.parentid).try_cast("bigint"), F.lit(0)).alias("parentid"),
-        F.coalesce(F.trim(rev.timestamp), F.lit("")).alias("timestamp"),
+        _strip(rev.id).try_cast("bigint").alias("revid"),
+        F.coalesce(_strip(rev.parentid).try_cast("bigint"), F.lit(0)).alias("parentid"),
+        F.coalesce(_strip(rev.timestamp), F.lit("")).alias("timestamp"),
         F.when(name != "", name).otherwise("Unknown").alias("user"),
-        F.coalesce(F.trim(who.id).try_cast("bigint"), F.lit(0)).alias("userid"),
+        F.coalesce(_strip(who.id).try_cast("bigint"), F.lit(0)).alias("userid"),
         who.ip.isNotNull().alias("anon"),
         F.coalesce(size, F.lit(0)).cast("bigint").alias("size"),
-        F.coalesce(F.trim(rev.comment), F.lit("")).alias("comment"),
+        F.coalesce(_strip(rev.comment), F.lit("")).alias("comment"),
         rev.minor.isNotNull().alias("minor"),
         F.lit(False).alias("bot"),
         F.array().cast("array<string>").alias("tags"),
@@ -112,7 +119,7 @@ def parse_manifest(lines: DataFrame, *, value_col: str = "value",
                    suffix: str = ".xml.bz2") -> DataFrame:
     """Dump files named in a checksum list: last token of lines that have at
     least two, with the wanted suffix."""
-    tokens = F.split(F.trim(value_col), r"\s+")
+    tokens = F.split(_strip(value_col), r"\s+")
     return (
         lines.filter(F.size(tokens) >= 2)
         .select(F.element_at(tokens, -1).alias("relative_path"))
