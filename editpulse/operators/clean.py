@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse.functions.scalars import (
-    day_name, epoch_seconds, flag, has_text, parse_timestamp, text_length, time_parts, try_cast,
+    day_name, flag, has_text, parse_timestamp, text_length, time_parts, try_cast,
 )
 from editpulse.operators.keysplit import (
     MAX_ROWS, drop_carry, has_hot_keys, previous, split_hot_keys, with_sequence,
@@ -59,7 +59,7 @@ def size_change(df: DataFrame, *, page_col: str = "page_title", ts_col: str = "t
     The first revision counts in full. A NULL size gives a NULL change, and
     the revision after it counts in full again.
     """
-    split = split_hot_keys(df, page_col, epoch_seconds(ts_col), max_rows)
+    split = split_hot_keys(df, page_col, max_rows)
     order = [ts_col, id_col]
     out = with_sequence(df, split, order, (size_col,)).withColumn(
         "prev_size", previous(size_col, split, order))

@@ -73,7 +73,7 @@ def user_sequence(df: DataFrame, *, user_col: str = "user", ts_col: str = "times
     check.
     """
     seconds = epoch_seconds(ts_col)
-    split = split_hot_keys(df if source is None else source, user_col, seconds, max_rows)
+    split = split_hot_keys(df if source is None else source, user_col, max_rows)
     order = [ts_col, id_col]
     rows = with_sequence(df, split, order, stats=stats, source=source).withColumns({
         "user_edit_sequence": row_sequence(split, order),
@@ -99,8 +99,7 @@ def page_sequence(df: DataFrame, *, page_col: str = "page_title", ts_col: str =
     ``source`` may name a cheaper table with the same rows for the hot-page
     check.
     """
-    split = split_hot_keys(df if source is None else source,
-                           page_col, epoch_seconds(ts_col), max_rows)
+    split = split_hot_keys(df if source is None else source, page_col, max_rows)
     order = [ts_col, id_col]
     rows = with_sequence(df, split, order, (change_col,), stats=stats, source=source).withColumns({
         "page_edit_sequence": row_sequence(split, order),

@@ -3,16 +3,19 @@
 ``lag`` and ``row_number`` over a page or a user need all rows of the key in
 one task. When one key holds a large part of the table that task never ends.
 ``split_hot_keys`` counts rows per key first. If no key exceeds the limit the
-callers build an ordinary window. Otherwise each hot key is cut along time into
-consecutive segments of about ``max_rows`` rows, the window is partitioned by
-(key, segment), and every segment but the first receives one *carry* row that
-stands for everything before it: the last row of the previous segment and the
-number of rows so far. Results are the same as those of the plain window.
+callers build an ordinary window. Otherwise the rows of hot keys, and only
+these, are range-partitioned by key and position, so they are cut by rank: a
+burst, a flood within one second or a mass of rows without a time is cut like
+anything else. The partition number is stored with the rows as their segment,
+the window is partitioned by (key, segment), and every segment but a key's
+first receives one *carry* row that stands for everything before it: the last
+row of the previous segment and the number of rows so far. Results are the
+same as those of the plain window.
 
 Sizes are bounded by construction: a key is hot only above
 ``max(max_rows, total / MAX_SEGMENTS)`` rows, so there are fewer than
-``MAX_SEGMENTS`` hot keys and the broadcast lookup holds at most
-``2 * MAX_SEGMENTS * CELLS_PER_SEGMENT`` small rows however large the data is.
+``MAX_SEGMENTS`` hot keys and at most ``4 * MAX_SEGMENTS`` segments however
+large the data is; only the hot keys themselves are broadcast.
 """
 
 from __future__ import annotations
@@ -21,12 +24,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from editpulse.session import stored
 
 MAX_ROWS = 5_000_000
 MAX_SEGMENTS = 50_000
-CELLS_PER_SEGMENT = 16
 
 SEGMENT = "_segment"
 CARRY = "_carry"
@@ -38,75 +41,73 @@ class KeySplit:
     """How the rows of one key column are spread over window partitions."""
 
     key: str
-    seconds: Column
-    hot: DataFrame | None = None      # key, first second, cell width
-    cells: DataFrame | None = None    # key, cell, segment
+    hot: DataFrame | None = None      # hot keys
+    n_ranges: int = 1
 
     @property
     def partition_by(self) -> list[str]:
         return [self.key] if self.hot is None else [self.key, SEGMENT]
 
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the segment number; rows of ordinary keys get 0."""
-        if self.hot is None:
-            return df
-        return (
-            _lookup(self._with_cell(df, "left"), self.cells, [self.key, "_cell"], "left")
-            .withColumn(SEGMENT, F.coalesce(F.col(SEGMENT), F.lit(0)))
-            .drop("_cell", "_first", "_width")
+    def order_by(self, order: list[str]) -> list[Column]:
+        """Carry rows come before all rows of their segment, ties included."""
+        columns = [F.col(c) for c in order]
+        return columns if self.hot is None else [F.desc(CARRY), *columns]
+
+    def place(self, df: DataFrame, order: list[str]) -> DataFrame:
+        """Add the segment number: 0 for ordinary keys, by rank for hot ones.
+
+        Reads ``df`` twice. Hot rows are stored with their segment, so every
+        reader and every retried task sees the same cuts. Rows that tie in the
+        order are cut by their contents.
+        """
+        contents = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+        hot = (
+            _lookup(df, self.hot, [self.key], "left_semi")
+            .repartitionByRange(self.n_ranges, self.key, *order, F.xxhash64(*contents))
+            .withColumn(SEGMENT, F.spark_partition_id() + 1)
         )
+        rest = _lookup(df, self.hot, [self.key], "left_anti").withColumn(SEGMENT, F.lit(0))
+        return rest.unionByName(stored(hot, "hot-rows"))
 
-    def hot_rows(self, df: DataFrame) -> DataFrame:
-        """Only rows of hot keys, with their segment and cell."""
-        return _lookup(self._with_cell(df, "inner"), self.cells, [self.key, "_cell"], "inner")
+    def carries(self, placed: DataFrame, last: list[Column]) -> DataFrame:
+        """One row per hot (key, segment) that has a successor: the aggregates
+        ``last`` of the segment, its rows, and ``_next``, the segment after."""
+        return (
+            placed.filter(F.col(SEGMENT) > 0)
+            .groupBy(self.key, SEGMENT)
+            .agg(F.count(F.lit(1)).alias("_rows"), *last)
+            .withColumn("_next", F.lead(SEGMENT).over(self._along()))
+        )
 
-    def segments(self) -> DataFrame:
-        """One row per hot (key, segment): row count, rows before, last cell."""
-        w = Window.partitionBy(self.key).orderBy(SEGMENT)
-        per_segment = self.cells.groupBy(self.key, SEGMENT).agg(
-            F.sum("_rows").alias("_rows"), F.max("_cell").alias("_last_cell"))
-        return per_segment.withColumn("_through", F.sum("_rows").over(w))
+    def _along(self):
+        return Window.partitionBy(self.key).orderBy(SEGMENT)
 
-    def spread(self, stats: DataFrame) -> DataFrame:
+    def spread(self, stats: DataFrame, placed: DataFrame) -> DataFrame:
         """Repeat per-key rows for each segment, so a join can use
         (key, segment) and stay balanced."""
-        if self.hot is None:
-            return stats
-        last = self.cells.groupBy(self.key).agg(F.max(SEGMENT).alias("_last"))
-        return (
-            _lookup(stats, last, [self.key], "left")
-            .withColumn(SEGMENT, F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))))
-            .drop("_last")
-        )
-
-    def _with_cell(self, df: DataFrame, how: str) -> DataFrame:
-        # Rows without a time sort first, so they belong to the first cell.
-        cell = F.when(
-            F.col("_first").isNotNull(),
-            F.coalesce(F.expr("(_sec - _first) div _width"), F.lit(0).cast("bigint")))
+        cuts = placed.filter(F.col(SEGMENT) > 0).groupBy(self.key).agg(
+            F.collect_set(SEGMENT).alias("_cuts"))
         return (
-            _lookup(df, self.hot, [self.key], how)
-            .withColumn("_sec", self.seconds)
-            .withColumn("_cell", cell)
-            .drop("_sec")
+            _lookup(stats, cuts, [self.key], "left")
+            .withColumn(SEGMENT, F.explode(F.coalesce("_cuts", F.array(F.lit(0)))))
+            .drop("_cuts")
         )
 
 
 def _lookup(df: DataFrame, table: DataFrame, on: list[str], how: str) -> DataFrame:
     """Join with one of the bounded lookup tables; a NULL key matches itself,
     as it does in a window partition."""
-    other = F.broadcast(table.withColumnsRenamed({c: f"_on_{c}" for c in on}))
+    return _null_safe(df, F.broadcast(table), on, how)
+
+
+def _null_safe(df: DataFrame, table: DataFrame, on: list[str], how: str) -> DataFrame:
+    other = table.withColumnsRenamed({c: f"_on_{c}" for c in on})
     same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
     return df.join(other, same, how).drop(*[f"_on_{c}" for c in on])
 
 
-def _key_counts(df: DataFrame, key: str, seconds: Column) -> DataFrame:
-    return (
-        df.select(F.col(key), seconds.alias("_sec"))
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_sec").alias("_first"),
-             F.max("_sec").alias("_final"))
-    )
+def _key_counts(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def hot_limit(counts: DataFrame, max_rows: int | None) -> int | None:
@@ -119,39 +120,24 @@ def hot_limit(counts: DataFrame, max_rows: int | None) -> int | None:
 
 
 def has_hot_keys(df: DataFrame, key: str, max_rows: int | None = MAX_ROWS) -> bool:
-    return hot_limit(_key_counts(df, key, F.lit(0)), max_rows) is not None
+    return hot_limit(_key_counts(df, key), max_rows) is not None
 
 
-def split_hot_keys(df: DataFrame, key: str, seconds: Column,
-                   max_rows: int | None = MAX_ROWS) -> KeySplit:
-    """Find hot keys of ``df`` and cut them along ``seconds`` (whole seconds).
+def split_hot_keys(df: DataFrame, key: str, max_rows: int | None = MAX_ROWS) -> KeySplit:
+    """Find the hot keys of ``df``.
 
     Runs one counting job whose map-side combine leaves one row per key and
-    map task. ``max_rows=None`` skips it for keys known to be small. Rows that
-    share one second are never separated. The split fits exactly the rows it
-    was made from.
+    map task. ``max_rows=None`` skips it for keys known to be small. Ranges are
+    planned at half the limit, so that with sampled bounds a segment stays well
+    below twice the limit.
     """
-    counts = _key_counts(df, key, seconds)
+    counts = _key_counts(df, key)
     limit = hot_limit(counts, max_rows)
     if limit is None:
-        return KeySplit(key, seconds)
-
-    n_cells = F.ceil(F.col("_rows") / F.lit(limit)) * CELLS_PER_SEGMENT
-    span = F.col("_final") - F.col("_first") + 1
-    hot = counts.filter((F.col("_rows") > limit) & F.col("_first").isNotNull()).select(
-        key, "_first",
-        F.greatest(F.lit(1), F.ceil(span / n_cells)).cast("bigint").alias("_width"))
-    split = KeySplit(key, seconds, stored(hot, "hot-keys"))
-    w = Window.partitionBy(key).orderBy("_cell")
-    before = F.sum("_rows").over(w) - F.col("_rows")
-    split.cells = stored(
-        split._with_cell(df, "inner")
-        .groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_slot", F.floor(before / F.lit(limit)))
-        .withColumn(SEGMENT, (F.dense_rank().over(
-            Window.partitionBy(key).orderBy("_slot")) - 1).cast("int"))
-        .select(key, "_cell", SEGMENT, "_rows"), "hot-key-segments")
-    return split
+        return KeySplit(key)
+    hot = stored(counts.filter(F.col("_rows") > limit), "hot-keys")
+    ranges = hot.agg(F.sum(F.ceil(2 * F.col("_rows") / F.lit(limit)))).first()[0]
+    return KeySplit(key, hot.select(key), int(ranges))
 
 
 def with_sequence(df: DataFrame, split: KeySplit, order: list[str],
@@ -162,37 +148,32 @@ def with_sequence(df: DataFrame, split: KeySplit, order: list[str],
     Adds the carry rows (hot keys only) and joins per-key ``stats`` on the same
     keys the window uses, so the join and the window share one shuffle.
     ``values`` are the columns whose previous value the windows look at; carry
-    rows hold these and the order, nothing else. They are taken from
-    ``source``, a cheaper table with the same rows, where there is one. The
-    caller ends with ``drop_carry``.
+    rows hold these and the order, nothing else. With ``source``, a table that
+    has the same rows, ``df`` is taken to be dear and is stored before it is
+    read twice. The caller ends with ``drop_carry``.
     """
     if split.hot is None:
-        out = df
-    else:
-        narrow = list(dict.fromkeys([split.key, *order, *values]))
-        latest = Window.partitionBy(split.key, SEGMENT).orderBy(*[F.desc(c) for c in order])
-        carry = (
-            _lookup(split.hot_rows((df if source is None else source).select(*narrow)),
-                    split.segments(), [split.key, SEGMENT], "inner")
-            # Only the last cell of a segment can hold its last row.
-            .filter(F.col("_cell") == F.col("_last_cell"))
-            .withColumn("_rn", F.row_number().over(latest))
-            .filter("_rn = 1")
-            .select(*narrow, (F.col(SEGMENT) + 1).alias(SEGMENT),
-                    F.lit(True).alias(CARRY), F.col("_through").alias(WEIGHT))
-        )
-        rows = split.assign(df).select(
-            *df.columns, SEGMENT, F.lit(False).alias(CARRY),
-            F.lit(1).cast("bigint").alias(WEIGHT))
-        out = rows.unionByName(carry, allowMissingColumns=True)
+        return df if stats is None else df.join(stats, split.key, "left")
+    placed = split.place(df if source is None else stored(df, "rows"), order)
+    narrow = list(dict.fromkeys([*order, *values]))
+    last = F.max_by(F.struct(*narrow), F.struct(*order)).alias("_last")
+    carry = (
+        split.carries(placed, [last])
+        .withColumn(WEIGHT, F.sum("_rows").over(split._along()))
+        .filter("_next IS NOT NULL")
+        .select(split.key, *[F.col(f"_last.{c}").alias(c) for c in narrow if c != split.key],
+                F.col("_next").alias(SEGMENT), F.lit(True).alias(CARRY), WEIGHT)
+    )
+    rows = placed.select("*", F.lit(False).alias(CARRY), F.lit(1).cast("bigint").alias(WEIGHT))
+    out = rows.unionByName(carry, allowMissingColumns=True)
     if stats is not None:
-        out = out.join(split.spread(stats), split.partition_by, "left")
+        out = out.join(split.spread(stats, placed), split.partition_by, "left")
     return out
 
 
 def row_sequence(split: KeySplit, order: list[str]) -> Column:
     """1, 2, 3 … within the key, as BIGINT: a hot key may pass two billion."""
-    w = Window.partitionBy(*split.partition_by).orderBy(*order)
+    w = Window.partitionBy(*split.partition_by).orderBy(*split.order_by(order))
     if split.hot is None:
         return F.row_number().over(w).cast("bigint")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -201,7 +182,8 @@ def row_sequence(split: KeySplit, order: list[str]) -> Column:
 
 def previous(column, split: KeySplit, order: list[str]) -> Column:
     """Value of the row before, within the key."""
-    return F.lag(column).over(Window.partitionBy(*split.partition_by).orderBy(*order))
+    w = Window.partitionBy(*split.partition_by).orderBy(*split.order_by(order))
+    return F.lag(column).over(w)
 
 
 def drop_carry(df: DataFrame, split: KeySplit) -> DataFrame:
@@ -216,48 +198,59 @@ def trailing_counts(df: DataFrame, key: str, seconds: Column, horizons: dict[str
     """Rows of the same key in the last N seconds, the current second included.
 
     A sliding RANGE frame re-reads its whole frame for every row, which is
-    quadratic for busy keys. Here each row enters the count at its own second
-    and leaves it N+1 seconds later, and a running sum over these entries and
-    exits gives the same numbers in one sorted pass.
+    quadratic for busy keys. Here rows are first counted per (key, second); each
+    count enters at its own second and leaves N+1 seconds later, and a running
+    sum over these entries and exits gives the same numbers in one sorted pass
+    over at most ``1 + len(horizons)`` rows a second. Whole rows take no part
+    in it and are joined with their second's counts, so a flood within a second
+    costs the window one row. ``source`` may name a cheaper table with the same
+    rows to count.
     """
     # Rows without a time are peers of each other and of nobody else; they
     # sort first, and leave before every real second.
     long_ago = F.lit(-(2 ** 62)).cast("bigint")
     names = list(horizons)
     deltas = [f"_d{i}" for i in range(len(names))]
-    enter = [F.lit(1).cast("bigint").alias(d) for d in deltas]
-    narrow = (df if source is None else source).select(key, seconds.alias("_at"))
-    exits = [
-        narrow.select(
-            key, F.coalesce(F.col("_at") + length + 1, long_ago).alias("_at"),
-            F.lit(False).alias("_row"),
-            *[F.lit(-1 if j == i else 0).cast("bigint").alias(d) for j, d in enumerate(deltas)])
-        for i, length in enumerate(horizons.values())]
-
-    def with_exits(entries: DataFrame) -> DataFrame:
-        for leaving in exits:
-            entries = entries.unionByName(leaving, allowMissingColumns=True)
-        return entries
-
-    steps = with_exits(df.select(*df.columns, seconds.alias("_at"), F.lit(True).alias("_row"), *enter))
-    # The same steps without the other columns, to count and to sum up.
-    bare = with_exits(narrow.select(key, "_at", F.lit(True).alias("_row"), *enter))
-    split = split_hot_keys(
-        bare, key, F.when(F.col("_at") > long_ago, F.col("_at")), max_rows)
+    per_second = (
+        (df if source is None else source).select(key, seconds.alias("_at"))
+        .groupBy(key, "_at").agg(F.count(F.lit(1)).alias("_n")))
+    none = F.lit(0).cast("bigint")
+
+    def step(at: Column, own: Column, sign: list[int]) -> Column:
+        return F.struct(at.alias("_at"), own.alias("_own"),
+                        *[(F.col("_n") * k).alias(d) for k, d in zip(sign, deltas)])
+
+    enter = step(F.col("_at"), F.col("_n"), [1] * len(names))
+    leave = [step(F.coalesce(F.col("_at") + length + 1, long_ago), none,
+                  [-1 if j == i else 0 for j in range(len(names))])
+             for i, length in enumerate(horizons.values())]
+    steps = (
+        per_second.select(key, F.explode(F.array(enter, *leave)).alias("_step"))
+        .select(key, "_step.*")
+        .groupBy(key, "_at")
+        .agg(*[F.sum(c).alias(c) for c in ("_own", *deltas)])
+    )
+    split = KeySplit(key)
+    if max_rows is not None:
+        # Entries and exits are few only per second, so they are counted too.
+        if has_hot_keys(per_second, key, max(1, max_rows // (1 + len(names)))):
+            steps = stored(steps, "steps")
+            split = split_hot_keys(steps, key, max_rows)
     if split.hot is not None:
-        per_segment = split.hot_rows(bare).groupBy(key, SEGMENT).agg(
-            *[F.sum(d).alias(d) for d in deltas])
-        w = Window.partitionBy(key).orderBy(SEGMENT)
-        carry = per_segment.select(
-            key, (F.col(SEGMENT) + 1).alias(SEGMENT), F.lit(False).alias("_row"),
-            *[F.sum(d).over(w).alias(d) for d in deltas])
-        steps = split.assign(steps).unionByName(carry, allowMissingColumns=True)
+        placed = split.place(steps, ["_at"])
+        carry = (
+            split.carries(placed, [F.sum(d).alias(d) for d in deltas])
+            .select(key, F.col("_next").alias(SEGMENT), F.lit(True).alias(CARRY),
+                    *[F.sum(d).over(split._along()).alias(d) for d in deltas])
+            .filter(F.col(SEGMENT).isNotNull())
+        )
+        steps = placed.withColumn(CARRY, F.lit(False)).unionByName(carry, allowMissingColumns=True)
     running = (
-        Window.partitionBy(*split.partition_by).orderBy("_at")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*split.partition_by).orderBy(*split.order_by(["_at"]))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        steps.select("*", *[F.sum(d).over(running).alias(n) for d, n in zip(deltas, names)])
-        .filter("_row")
-        .select(*df.columns, *names)
+    counts = (
+        steps.select(key, "_at", "_own", *[F.sum(d).over(running).alias(n) for d, n in zip(deltas, names)])
+        .filter("_own > 0").drop("_own")
     )
+    return _null_safe(df.withColumn("_at", seconds), counts, [key, "_at"], "left").drop("_at")
