@@ -95,8 +95,8 @@ def importances(spark, d):
 
 
 def clusters(spark, d):
-    model, users = M.train_user_clusters(E.edits_with_change(spark, d))
-    return rounded(EV.cluster_kpis(model, users)["profiles"])
+    _, users = M.train_user_clusters(E.edits_with_change(spark, d))
+    return rounded(A.cluster_profiles(users))
 
 
 def cluster_metrics(spark, d):

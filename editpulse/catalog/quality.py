@@ -3,42 +3,54 @@
 from pyspark.sql import functions as F
 
 from editpulse.catalog.base import BRONZE, SILVER, rounded, with_
+from editpulse.catalog.rows import _BRONZE_OUT
 from editpulse.operators import quality as Q
 from editpulse.operators.clean import silver
 from editpulse.plans import edits as E
 from editpulse.plans.reports import quality_report
 from editpulse.session import scratch_dir
-from editpulse.sources.bronze import parse_records, read_lines, write_batches
+from editpulse.sources.bronze import parse_records, read_lines, read_mixed
 
 
 def raw(fn):
     return lambda spark, d: rounded(fn(E.bronze(spark, d)))
 
 
-def stored_files(spark, d):
-    """Bronze files in folders that need different treatment."""
+PER_FILE = 2_000
+
+
+def stored_files(spark, d, *kinds):
+    """Bronze as files of ``PER_FILE`` ids each, in one folder per kind: JSON
+    lines, lines that are cut off, arrays over many lines, and blanks."""
     path = scratch_dir(spark, "audit")
-    records = E.bronze(spark, d)
-    write_batches(records, f"{path}/lines", batch_size=5_000)
-    broken = E.json_records(records).select(F.expr("substring(value, 1, length(value) - 1)").alias("value"))
-    broken.write.text(f"{path}/broken")
-    arrays = E.json_records(records.filter("bot")).select(
-        F.concat(F.lit("["), "value", F.lit("]")).alias("value")).coalesce(1)
-    arrays.write.text(f"{path}/arrays")
+    records = E.json_records(E.bronze(spark, d), keep=("revid",))
+    file = records.groupBy(F.floor(F.col("revid") / PER_FILE).alias("file")).agg(F.sort_array(F.collect_list("value")).alias("v"))
+    text = {
+        "lines": F.array_join("v", "\n"),
+        "broken": F.array_join(F.transform("v", lambda x: F.substring(x, F.lit(1), F.length(x) - 1)), "\n"),
+        "arrays": F.concat(F.lit("[\n"), F.array_join("v", ",\n"), F.lit("\n]")),
+        "blank": F.lit(" \n\t"),
+    }
+    for kind in kinds or text:
+        file.select(text[kind].alias("value")).write.option("maxRecordsPerFile", 1).text(f"{path}/{kind}")
     return path
 
 
 def file_audit(spark, d):
     audit = Q.file_audit(spark, f"{stored_files(spark, d)}/*/part-*")
     kind = F.element_at(F.split("file", "/"), -2)
-    return audit.groupBy(kind.alias("folder"), "format").agg((F.count("*") > 0).alias("present"))
+    return audit.groupBy(kind.alias("folder"), "format").agg(F.count("*").alias("files"))
+
+
+def mixed(spark, d):
+    """Lines and arrays give all records, broken and blank files none."""
+    return rounded(read_mixed(spark, f"{stored_files(spark, d)}/*/part-*"))
 
 
 def progress(spark, d):
-    path = scratch_dir(spark, "progress")
-    write_batches(E.bronze(spark, d), path, batch_size=5_000)
-    records = parse_records(read_lines(spark, f"{path}/part-*"), keep=("file",))
-    return Q.collection_progress(records, 1_000_000).select("records", "goal", "done_pct", "remaining")
+    path = stored_files(spark, d, "lines")
+    records = parse_records(read_lines(spark, f"{path}/lines/part-*"), keep=("file",))
+    return Q.collection_progress(records, 1_000_000)
 
 
 def report(spark, d):
@@ -73,10 +85,13 @@ QUERIES = {
         UNION ALL SELECT 'bots', CASE WHEN bot_edits = 0 THEN 'no_bot_records'
           WHEN bot_edits < 500 THEN 'few_bot_records' ELSE 'bots_ok' END FROM a
         UNION ALL SELECT 'files', 'corrupt_files_skipped'""")),
-    # Which folders appear depends on what is written above, not on SQL data.
-    "bronze_file_audit": (file_audit, None),
-    "collection_progress": (progress, with_(BRONZE, """
-        SELECT count(*) AS records, cast(1000000 AS bigint) AS goal,
+    "bronze_file_audit": (file_audit, with_(BRONZE + f", n AS (SELECT count(DISTINCT revid // {PER_FILE}) AS files FROM bronze)", """
+        SELECT 'lines' AS folder, 'ndjson' AS format, files FROM n UNION ALL SELECT 'broken', 'corrupt', files FROM n
+        UNION ALL SELECT 'arrays', 'array_file', files FROM n UNION ALL SELECT 'blank', 'empty', files FROM n""")),
+    "read_whole_json_array": (mixed, with_(BRONZE, f"""
+        SELECT {_BRONZE_OUT} FROM bronze UNION ALL SELECT {_BRONZE_OUT} FROM bronze""")),
+    "collection_progress": (progress, with_(BRONZE, f"""
+        SELECT count(*) AS records, count(DISTINCT revid // {PER_FILE}) AS files, cast(1000000 AS bigint) AS goal,
                round(100.0::double * count(*) / 1000000, 2) AS done_pct,
                greatest(0, 1000000 - count(*)) AS remaining FROM bronze""")),
     "quality_report": (report, with_(SILVER, """

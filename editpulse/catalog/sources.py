@@ -22,8 +22,13 @@ from editpulse.sources import tables as TB
 def lines(spark, d):
     path = scratch_dir(spark, "lines")
     B.write_batches(E.bronze(spark, d), path)
-    return B.read_lines(spark, f"{path}/part-*").agg(
-        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("value").startswith("{")).alias("objects"))
+    return fields(B.read_lines(spark, f"{path}/part-*"))
+
+
+def fields(text):
+    """Id and comment of each JSON line, without the record parser."""
+    return text.select(F.get_json_object("value", "$.revid").cast("bigint").alias("revid"),
+                       F.get_json_object("value", "$.comment").alias("comment"))
 
 
 def parsed(spark, d):
@@ -45,9 +50,9 @@ def wrong_types(spark, d):
 def batches(spark, d):
     path = scratch_dir(spark, "batches")
     B.write_batches(E.bronze(spark, d), path, batch_size=3_000)
-    per_file = B.read_bronze(spark, f"{path}/part-*").select(
-        F.input_file_name().alias("file")).groupBy("file").agg(F.count("*").alias("n"))
-    return per_file.agg(F.sum("n").alias("records"), (F.max("n") <= 3_000).alias("bounded"))
+    rows = B.parse_records(B.read_lines(spark, f"{path}/part-*"), keep=("file",))
+    per_file = rows.groupBy("file").agg((F.count("*") <= 3_000).alias("bounded"))
+    return rows.join(per_file, "file").select("revid", "comment", "size", "bounded")
 
 
 def api(spark, d):
@@ -146,7 +151,7 @@ def gold_table(spark, d):
 def view(spark, d):
     name = TB.register_edits(E.edits(spark, d))
     return spark.sql(f"""SELECT user, max(is_bot) AS is_bot, count(*) AS edits, count(DISTINCT page_title) AS pages
-                         FROM {name} WHERE has_comment = 1 GROUP BY user""")
+                         FROM {name} GROUP BY user""")
 
 
 QUERIES = {
@@ -159,13 +164,13 @@ QUERIES = {
         SELECT revid, usr AS "user", hour, prediction FROM changed JOIN clustered USING (usr)""")),
     "edits_view": (view, with_(CHANGED, """
         SELECT usr AS "user", max(is_bot) AS is_bot, count(*) AS edits, count(DISTINCT page_title) AS pages
-        FROM changed WHERE has_comment = 1 GROUP BY usr""")),
-    "bronze_lines": (lines, with_(BRONZE, "SELECT count(*) AS lines, count(*) AS objects FROM bronze")),
+        FROM changed GROUP BY usr""")),
+    "bronze_lines": (lines, with_(BRONZE, "SELECT revid, comment FROM bronze")),
     "parse_bronze_json": (parsed, with_(BRONZE, f"""
         SELECT {_BRONZE_OUT} FROM bronze UNION ALL SELECT {_BRONZE_OUT} FROM bronze""")),
     "bronze_schema": (wrong_types, with_(BRONZE, """
         SELECT revid, comment, CASE WHEN comment <> 'again' THEN size END AS size FROM bronze""")),
-    "write_bronze_batches": (batches, with_(BRONZE, "SELECT count(*) AS records, true AS bounded FROM bronze")),
+    "write_bronze_batches": (batches, with_(BRONZE, "SELECT revid, comment, size, true AS bounded FROM bronze")),
     "parse_api_response": (api, with_(BRONZE, """
         SELECT page_title, page_id, page_watchers, revid, parentid, stamp AS "timestamp",
                coalesce(usr, 'Unknown') AS "user", userid, anon, size, comment, coalesce(minor, false) AS minor,

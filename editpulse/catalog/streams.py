@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from editpulse.catalog.base import BRONZE, EDITS, STAMP, rounded, with_
+from editpulse.catalog.sources import fields
 from editpulse.plans import edits as E
 from editpulse.session import scratch_dir
 from editpulse.sources.bronze import write_batches
@@ -68,8 +69,7 @@ def replay_total(spark, d):
     write_batches(E.bronze(spark, d), f"{path}/files", batch_size=5_000)
     SK.run_available(SK.append_writer(
         SE.replay_source(spark, f"{path}/files", 2), f"{path}/rows", f"{path}/checkpoint"))
-    return spark.read.parquet(f"{path}/rows").agg(
-        F.count("*").alias("lines"), (F.sum(F.length("value")) > 0).alias("has_text"))
+    return fields(spark.read.parquet(f"{path}/rows"))
 
 
 def unpacked(spark, d):
@@ -99,7 +99,7 @@ _WINDOWS = EDITS + """, windows AS (
 _COUNTS = "window_start, page_title, edit_count, unique_editors"
 
 QUERIES = {
-    "replay_source": (replay_total, with_(BRONZE, "SELECT count(*) AS lines, true AS has_text FROM bronze")),
+    "replay_source": (replay_total, with_(BRONZE, "SELECT revid, comment FROM bronze")),
     "json_to_struct": (unpacked, "SELECT event_id, cast(json_extract(props, '$.k') AS int) AS k FROM events"),
     "tumbling_unique_editors": (unique_editors, with_(EDITS, """
         SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, page_title,

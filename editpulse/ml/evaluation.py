@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from editpulse.operators.aggregates import cluster_profiles, cluster_sizes, confusion_matrix
 from editpulse.operators.aggregates import value_distribution
+from editpulse.session import stored
 
 
 def multiclass_metrics(pred: DataFrame, label: str = "label",
@@ -85,6 +86,8 @@ def cluster_centers(model: PipelineModel) -> DataFrame:
 
 
 def bot_kpis(model: PipelineModel, pred: DataFrame, label: str = "is_bot") -> dict[str, DataFrame]:
+    # Scored once; areas and counts read the stored scores.
+    pred = stored(pred.select(label, "rawPrediction", "prediction"), "predictions")
     roc, pr = binary_areas(pred, label)
     return {
         "metrics": multiclass_metrics(pred, label).withColumns(
@@ -95,6 +98,7 @@ def bot_kpis(model: PipelineModel, pred: DataFrame, label: str = "is_bot") -> di
 
 
 def edit_type_kpis(pred: DataFrame) -> dict[str, DataFrame]:
+    pred = stored(pred.select("label", "prediction"), "predictions")
     return {
         "metrics": multiclass_metrics(pred),
         "confusion": confusion_matrix(pred),

@@ -7,19 +7,13 @@ from pyspark.sql import functions as F
 
 from editpulse.functions.scalars import percent
 from editpulse.operators.aggregates import n_rows
-from editpulse.schemas import BRONZE, REQUIRED
+from editpulse.schemas import REQUIRED
 
 # Limits of the audit's recommendations.
 MIN_VALID_RECORDS = 10_000
 MIN_BOT_RECORDS = 500
 COLLECTION_GOAL = 10_000_000
 
-# A file is read as one string only up to this size; a Spark string holds at
-# most 2 GiB. Larger files are judged by their lines and a streaming parser.
-MAX_WHOLE_FILE = 512 * 1024 * 1024
-
-_ARRAY = f"array<{BRONZE.simpleString()}>"
-
 
 def null_report(df: DataFrame, columns: list[str] = REQUIRED) -> DataFrame:
     """One row per column: NULLs and their percentage, from a single scan."""
@@ -80,28 +74,15 @@ def _json_ok(text) -> Column:
 def file_audit(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
     """One row per file: array_file, ndjson, empty or corrupt.
 
-    Readers skip files of zero bytes; pass ``listed`` (column ``file``) to have
-    them reported as empty.
+    One rule for files of every size, by their lines and a streaming parser; no
+    file is held as one string. Readers skip files of zero bytes; pass
+    ``listed`` (column ``file``) to have them reported as empty.
     """
-    whole = (
-        spark.read.text(path, wholetext=True)
-        .filter(F.col("_metadata.file_size") <= MAX_WHOLE_FILE)
-        .select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("_text"))
-    )
-    body = F.regexp_replace("_text", r"^\s+|\s+$", "")
-    lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
-    small = whole.select(
-        "file",
-        F.when(body == "", "empty")
-        .when(body.startswith("[") & _json_ok(body), "array_file")
-        .when(F.exists(lines, _json_ok), "ndjson")
-        .otherwise("corrupt").alias("format"))
-    is_large = F.col("_metadata.file_size") > MAX_WHOLE_FILE
     name = F.col("_metadata.file_path").alias("file")
     at = F.struct(F.col("_start"), F.col("_at"))
     line = F.regexp_replace("value", r"^\s+|\s+$", "")
     by_line = (
-        spark.read.text(path).filter(is_large)
+        spark.read.text(path)
         .select(name, line.alias("_line"), F.col("_metadata.file_block_start").alias("_start"),
                 F.monotonically_increasing_id().alias("_at"))
         .groupBy("file")
@@ -115,17 +96,16 @@ def file_audit(spark: SparkSession, path: str, listed: DataFrame | None = None)
     # malformed one. An array is whole if it also fills its file.
     arrays = (
         spark.read.schema("revid string").option("multiLine", True).option("mode", "DROPMALFORMED")
-        .json(path).filter(is_large).select(name).distinct().withColumn("_parsed", F.lit(True))
+        .json(path).select(name).distinct().withColumn("_parsed", F.lit(True))
     )
     fills = (F.col("_head.begin") == "[") & (F.col("_tail") == "]") & (
         (F.col("_lines") == 1) | ~F.col("_head.ok"))
-    large = by_line.join(arrays, "file", "left").select(
+    out = by_line.join(arrays, "file", "left").select(
         "file",
         F.when(F.col("_lines") == 0, "empty")
         .when(fills & F.coalesce("_parsed", F.lit(False)), "array_file")
         .when(F.col("_any"), "ndjson")
         .otherwise("corrupt").alias("format"))
-    out = small.unionByName(large)
     if listed is not None:
         out = listed.select("file").join(out, "file", "left").fillna("empty", subset=["format"])
     return out

@@ -108,6 +108,6 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).to(BRONZE)
 
 
-def json_records(records: DataFrame) -> DataFrame:
-    """Each record as one JSON line."""
-    return records.select(F.to_json(F.struct("*")).alias("value"))
+def json_records(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each record as one JSON line, next to the ``keep`` columns."""
+    return records.select(F.to_json(F.struct("*")).alias("value"), *keep)

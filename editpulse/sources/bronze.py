@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from editpulse.operators.quality import file_audit
 from editpulse.schemas import BRONZE
 
 
@@ -49,6 +50,16 @@ def read_whole_arrays(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).option("multiLine", True).json(path)
 
 
+def read_mixed(spark: SparkSession, path: str) -> DataFrame:
+    """Records of lines, one-line arrays and arrays that span lines, each file
+    read the way its audit says; none is read twice or left out."""
+    arrays = file_audit(spark, path).filter("format = 'array_file'").select("file")
+    whole = spark.read.schema(BRONZE).option("multiLine", True).json(path).select(
+        "*", F.col("_metadata.file_path").alias("file"))
+    lines = read_lines(spark, path).join(arrays, "file", "left_anti")
+    return whole.join(arrays, "file", "left_semi").drop("file").unionByName(parse_records(lines))
+
+
 def write_batches(df: DataFrame, path: str, *, batch_size: int = 100_000,
                   mode: str = "append") -> None:
     """Newline-delimited JSON files of at most ``batch_size`` records. The
