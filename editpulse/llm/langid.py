@@ -32,6 +32,8 @@ PER_LANGUAGE, WINDOWS = 300, 4
 UNKNOWN = "und"
 #: Rows (language, hash) of the sample that may be broadcast; beyond, a join.
 BROADCAST_SAMPLE = 100_000
+#: Shares of a language that are ranked apart before the language as a whole.
+SHARES = 16
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -124,8 +126,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     n = F.char_length("text")
     piece = lambda i: F.substring("text", F.greatest(F.lit(1), (i * n / windows).cast("int") + 1), F.lit(WINDOW))
     hashed = rows.withColumn("h", F.xxhash64("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    picked = stored(hashed.select("lang", "h").distinct().withColumn("r", rank).filter(F.col("r") <= per_language).select("lang", "h"), "language-sample")
+    # The least hashes of each share of a language hold its least hashes, so
+    # one task a language ranks at most per_language * SHARES of them.
+    least = lambda df, *by: (
+        df.withColumn("r", F.row_number().over(Window.partitionBy("lang", *by).orderBy("h"))).filter(F.col("r") <= per_language).drop("r"))
+    shares = least(hashed.select("lang", "h").distinct(), F.pmod("h", F.lit(SHARES)))
+    picked = stored(least(shares), "language-sample")
     few = picked.count() <= BROADCAST_SAMPLE
     sample = hashed.join(F.broadcast(picked) if few else picked, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", F.concat(*[
         x for i in range(windows) for x in (F.rpad(F.translate(piece(F.lit(i)), "\x00", " "), WINDOW, " "), F.lit("\x00"))]).alias("cut"))
