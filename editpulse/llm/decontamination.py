@@ -2,8 +2,10 @@
 
 The windows of all benchmark items form a hash set that is broadcast in blocks
 of bounded size; every block is one narrow pass over the documents, so the
-documents are never shuffled. A task hashes all windows of its texts at once,
-looks them up, and compares the words of each candidate with the item's.
+documents are never shuffled. Between blocks the documents are written to the
+shared folder: a task holds one block, however many there are. A task hashes all
+windows of its texts at once, looks them up, and compares the words of each
+candidate with the item's.
 
 A window is ``width`` consecutive words of an item; an item of fewer words, but
 not none, is one window. A null or empty text has no words and no hits, a null
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editpulse.llm import text as X
+from editpulse.session import stored
 
 WIDTH = 10
 #: (window, item) pairs in one broadcast block.
@@ -110,7 +113,7 @@ def scan(docs: DataFrame, items: DataFrame, keep: list[str], width: int = WIDTH,
     """``keep`` columns of ``docs`` with ``scan``: struct of n_words, n_hit,
     items (sorted) and hits (word intervals, flat)."""
     spark = docs.sparkSession
-    pairs = item_windows(items, width, item_id_col, item_text_col)
+    pairs = stored(item_windows(items, width, item_id_col, item_text_col), "benchmark-windows")
     blocks = max(1, -(-pairs.count() // block_pairs))
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)], *[F.col(f"`{text_col}`").alias("t")] * (text_col not in keep))
@@ -121,6 +124,9 @@ def scan(docs: DataFrame, items: DataFrame, keep: list[str], width: int = WIDTH,
         held = spark.sparkContext.broadcast(WindowSet(pairs.filter(block == b).select("item", "window", "n").collect()))
         drop = b == blocks - 1 and text_col not in keep
         rows = X.map_batches(rows, _pass(held, b == 0, drop, at), schema + SCANNED)
+        if b < blocks - 1:
+            rows = stored(rows, "benchmark-block")
+            held.unpersist()
     return rows.select(*[F.col(k).alias(c) for c, k in zip(keep, names)],
                        F.struct("n_words", "n_hit", "items", "hits").alias(X.fresh(docs, "scan")))
 
