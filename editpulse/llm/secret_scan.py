@@ -41,26 +41,42 @@ FURTHER = (
 KINDS = BASE + FURTHER
 
 
+#: Entries of an array that are summed up together, see ``_ends``.
+SUMMED = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _ends(lengths: Column) -> Column:
-    """Running sums of an array of integers."""
+    """Running sums of an array of integers. Each step of ``aggregate`` copies the
+    sums so far, so they run inside blocks first and then over the blocks."""
     none = F.array().cast("array<int>")
-    return F.aggregate(lengths, none, lambda acc, n: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + n)))
+    last = lambda sums: F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0))
+    sums = lambda xs: F.aggregate(xs, none, lambda acc, n: F.concat(acc, F.array(last(acc) + n)))
+    blocks = lambda xs: F.transform(
+        F.sequence(F.lit(0), (F.size(xs) / SUMMED).cast("int")), lambda b: sums(F.slice(xs, b * SUMMED + 1, F.lit(SUMMED))))
+    joined = lambda inner: F.flatten(F.zip_with(
+        inner, sums(F.transform(inner, last)), lambda own, upto: F.transform(own, lambda x: x + upto - last(own))))
+    return _let(lengths, lambda xs: _let(blocks(xs), joined))
 
 
 def _spans(text: Column, number: int) -> Column:
     """Array of (start, kind, end, hash) of one kind's matches."""
     _, pattern, group, least = KINDS[number]
     kind = "array<struct<start:int,kind:int,end:int,hash:string>>"
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.split(text, pattern, -1)
-    size = F.transform(whole, F.char_length)
-    ends = _ends(F.zip_with(size, F.slice(gaps, 1, F.size(whole)), lambda n, gap: n + F.char_length(gap)))
-    rows = F.transform(F.arrays_zip(ends.alias("end"), size.alias("size"), value.alias("value")), lambda x: F.struct(
-        (x["end"] - x["size"]).alias("start"), F.lit(number).alias("kind"), x["end"].alias("end"), x["value"].alias("value")))
-    kept = F.filter(rows, lambda x: F.char_length(x["value"]) >= least)
-    hashed = F.transform(kept, lambda x: F.struct(x["start"], x["kind"], x["end"], F.sha2(x["value"].cast("binary"), 256).alias("hash")))
-    return F.when(text.rlike(pattern), hashed.cast(kind)).otherwise(F.array().cast(kind))
+
+    def spans(whole: Column) -> Column:
+        value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        size = F.transform(whole, F.char_length)
+        ends = _ends(F.zip_with(size, F.slice(F.split(text, pattern, -1), 1, F.size(whole)), lambda n, gap: n + F.char_length(gap)))
+        places = F.zip_with(ends, whole, lambda end, match: F.struct((end - F.char_length(match)).alias("start"), F.lit(number).alias("kind"), end.alias("end")))
+        rows = F.zip_with(places, value, lambda at, v: F.struct(at["start"], at["kind"], at["end"], v.alias("value")))
+        kept = F.filter(rows, lambda x: F.char_length(x["value"]) >= least)
+        return F.transform(kept, lambda x: F.struct(x["start"], x["kind"], x["end"], F.sha2(x["value"].cast("binary"), 256).alias("hash"))).cast(kind)
+    return F.when(text.rlike(pattern), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)).otherwise(F.array().cast(kind))
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None) -> DataFrame:

@@ -385,6 +385,14 @@ def test_secrets_base(spark, edge, nothing, docs):
     assert secret_scan.scan(nothing).count() == 0
 
 
+def test_secrets_many_in_one_text(spark):
+    """More matches than are summed together: the places stay exact."""
+    for n in (secret_scan.SUMMED - 1, secret_scan.SUMMED, 3 * secret_scan.SUMMED + 1):
+        text = "".join(f"é{'x' * (i % 7)} token=abcdef{i} " for i in range(n))
+        r = secret_scan.scan(spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")).first()
+        assert r.base_sha256 == sha(",".join(f"{k}:{a}:{b}" for a, _, b, k in brute_secrets(text))) and r.n_assign == n
+
+
 def test_secrets_ownership(spark):
     own, copied = "bearer " + "q7" * 15, "bearer " + "EXAMPLE" * 4
     rows = [(i, f"{own if i == 0 else ''} {copied}", f"owner{i}") for i in range(5)]
