@@ -38,6 +38,44 @@ def update_counts(spark, d):
     return flat(SK.current_page_counts(spark, f"{path}/rows"))
 
 
+PARTS = 4
+
+
+def arriving(spark, d):
+    """The events in the order of their times, in PARTS deliveries; the errors of the
+    first part come last, long after the watermark has passed their windows."""
+    events = E.table(spark, d, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.lit(PARTS - 1), F.floor((at - low) * PARTS / F.lit(max((high or 0) - (low or 0), 1)))).cast("int")
+    late = (part == 0) & (F.col("event_type") == "error")
+    dealt = events.withColumn("part", F.when(late, PARTS).otherwise(part))
+    return [dealt.filter(F.col("part") == i).drop("part") for i in range(PARTS + 1)]
+
+
+def delivered(spark, d, label, writer):
+    """One run of the stream per delivery, each going on from the checkpoint of the
+    run before; returns the folder of the rows."""
+    path = scratch_dir(spark, label)
+    schema = E.table(spark, d, "events").schema
+    for i, part in enumerate(arriving(spark, d)):
+        part.write.parquet(f"{path}/in/part={i}")
+        stream = spark.readStream.schema(schema).parquet(f"{path}/in/part=*")
+        edits = E.edits_of(stream).withColumnRenamed("size_bytes", "size")
+        SK.run_available(writer(edits, f"{path}/rows", f"{path}/checkpoint"))
+    return f"{path}/rows"
+
+
+def resumed_updates(spark, d):
+    rows = delivered(spark, d, "resumed", lambda edits, *at: SK.update_writer(SE.editor_counts(edits), *at))
+    return flat(SK.current_page_counts(spark, rows))
+
+
+def resumed_append(spark, d):
+    rows = delivered(spark, d, "resumed", lambda edits, *at: SK.append_writer(SE.page_counts(edits), *at))
+    return flat(spark.read.parquet(rows))
+
+
 def append_counts(spark, d):
     """Append mode: windows the watermark has closed, each exactly once."""
     path = scratch_dir(spark, "appended")
@@ -96,6 +134,14 @@ _WINDOWS = EDITS + """, windows AS (
          count(DISTINCT usr) AS unique_editors, max(size_bytes) - min(size_bytes) AS size_swing
   FROM edits GROUP BY ALL)"""
 
+_ON_TIME = EDITS + """, bounds AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events), on_time AS (
+  SELECT edits.* FROM edits, bounds
+  WHERE NOT (is_anon = 1 AND floor((epoch_us(ts) - low) * 4 / greatest(high - low, 1)::double) = 0)), windows AS (
+  SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, ts) AS w, page_title, count(*) AS edit_count,
+         count(DISTINCT usr) AS unique_editors, max(size_bytes) - min(size_bytes) AS size_swing
+  FROM on_time GROUP BY ALL)"""
+
 _COUNTS = "window_start, page_title, edit_count, unique_editors"
 
 QUERIES = {
@@ -108,6 +154,9 @@ QUERIES = {
     "stream_sink": (update_counts, with_(_WINDOWS, f"SELECT {_COUNTS}, size_swing FROM windows")),
     "stream_append": (append_counts, with_(_WINDOWS, f"""SELECT {_COUNTS}, size_swing FROM windows
         WHERE w + INTERVAL 5 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE""")),
+    "late_data": (resumed_updates, with_(_ON_TIME, f"SELECT {_COUNTS}, size_swing FROM windows")),
+    "late_data_append": (resumed_append, with_(_ON_TIME, f"""SELECT {_COUNTS}, size_swing FROM windows
+        WHERE w + INTERVAL 5 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) FROM on_time) - INTERVAL 10 MINUTE""")),
     "live_edit_war_alerts": (alerts, with_(EDITS, """
         SELECT strftime(time_bucket(INTERVAL 12 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, page_title,
                count(*) AS edit_count, count(DISTINCT usr) AS unique_editors,
