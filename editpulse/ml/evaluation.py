@@ -107,6 +107,7 @@ def edit_type_kpis(pred: DataFrame) -> dict[str, DataFrame]:
 
 
 def cluster_kpis(model: PipelineModel, clustered: DataFrame) -> dict[str, DataFrame]:
+    clustered = stored(clustered, "clustered")
     k = len(model.stages[-1].clusterCenters())
     metrics = SparkSession.active().createDataFrame(
         [(silhouette(clustered), k)], "silhouette_score double, num_clusters int")

@@ -23,6 +23,7 @@ from editpulse.operators.aggregates import label_class_check, user_profiles, use
 from editpulse.operators.joins import join_cluster_labels
 from editpulse.operators.sampling import class_weights, split_train_test, stratified_split
 from editpulse.schemas import BOT_INPUTS, CLUSTER_INPUTS, EDIT_TYPE_INPUTS, GOLD_INPUTS
+from editpulse.session import stored
 
 
 @contextmanager
@@ -101,13 +102,14 @@ def train_edit_type_model(
 def train_user_clusters(features: DataFrame, *, k: int = 5, max_iter: int = 50, seed: int = 42,
                         min_edits: int = 5) -> tuple[PipelineModel, DataFrame] | None:
     """K-means over user profiles; None with fewer users than five."""
-    with kept(user_profiles(features, min_edits)) as profiles:
+    table = stored(user_profiles(features, min_edits), "profiles")
+    with kept(table) as profiles:
         users = profiles.count()
         if users < 5:
             return None
         means = KMeans(featuresCol="features", k=min(k, users), seed=seed, maxIter=max_iter)
         model = Pipeline(stages=[assemble(CLUSTER_INPUTS), scale(), means]).fit(profiles)
-    return model, model.transform(user_profiles(features, min_edits))
+    return model, model.transform(table)
 
 
 def gold_rows(silver: DataFrame) -> DataFrame:
@@ -122,12 +124,13 @@ def gold_rows(silver: DataFrame) -> DataFrame:
 def gold_segmentation(silver: DataFrame, *, k: int = 3, seed: int = 1) -> DataFrame:
     """Edits labelled with one of three user segments."""
     rows = gold_rows(silver)
-    with kept(user_size_profile(rows)) as profiles:
+    table = stored(user_size_profile(rows), "profiles")
+    with kept(table) as profiles:
         means = KMeans(featuresCol="scaledFeatures", k=k, seed=seed)
         model = Pipeline(stages=[
             assemble(GOLD_INPUTS, "features"), scale("features", "scaledFeatures"), means,
         ]).fit(profiles)
-    return join_cluster_labels(rows, model.transform(user_size_profile(rows)))
+    return join_cluster_labels(rows, model.transform(table))
 
 
 def score(model: PipelineModel, rows: DataFrame,
@@ -144,6 +147,10 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_indexer(path: str) -> StringIndexerModel:
+    return StringIndexerModel.load(path)
+
+
 def audit_models(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Whether each saved model loads, and the type of its last stage."""
     rows = []

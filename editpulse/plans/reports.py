@@ -7,11 +7,14 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from editpulse.ml import evaluation as EV
+from editpulse.ml import models as M
 from editpulse.operators.aggregates import (
-    date_range, duplicate_count, retention, silver_summary,
+    date_range, duplicate_count, retention, silver_summary, user_profiles,
 )
 from editpulse.operators.kpis import dataset_kpis, edit_war_kpis
 from editpulse.operators.quality import null_report
+from editpulse.operators.sampling import balanced_sample
 from editpulse.operators.topk import edits_by_hour, top_pages, top_users
 
 
@@ -38,6 +41,25 @@ def kpi_tables(silver: DataFrame, features: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def model_tables(features: DataFrame, paths: dict[str, str]) -> dict[str, dict[str, DataFrame]]:
+    """The model sections of the KPI document, by models read from ``paths``. A
+    model that cannot be read has no section."""
+    audit = M.audit_models(features.sparkSession, {k: paths[k] for k in ("bot", "edit_type", "clusters")})
+    readable = {r.model for r in audit.collect() if r.status == "LOADED"}
+    sections = {}
+    if "bot" in readable:
+        model = M.load_model(paths["bot"])
+        sample = balanced_sample(M.bot_rows(features), "is_bot")
+        sections["bot_detection"] = EV.bot_kpis(model, M.score(model, sample))
+    if "edit_type" in readable:
+        scored = M.score(M.load_model(paths["edit_type"]), M.edit_type_rows(features), M.load_indexer(paths["edit_type_labels"]))
+        sections["edit_type"] = EV.edit_type_kpis(scored)
+    if "clusters" in readable:
+        model = M.load_model(paths["clusters"])
+        sections["user_clustering"] = EV.cluster_kpis(model, M.score(model, user_profiles(features, 5)))
+    return sections
+
+
 def _seconds(df: DataFrame) -> float:
     start = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +58,22 @@ def write_kpis(tables: dict[str, DataFrame], path: str) -> None:
         table.write.mode("overwrite").json(f"{path}/{name}")
 
 
+def nested_document(sections: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """One JSON text: section, then table, then its rows. Only for report tables,
+    which are a few rows each however large the data is."""
+    parts = [
+        table.agg(F.to_json(F.collect_list(F.struct(*table.columns)), {"ignoreNullFields": "false"}).alias("json"))
+        .select(F.lit(section).alias("section"), F.lit(name).alias("name"), "json")
+        for section, tables in sections.items() for name, table in tables.items()]
+
+    def joined(name: str, json: str):
+        fields = F.sort_array(F.collect_list(F.concat(F.lit('"'), F.col(name), F.lit('":'), F.col(json))))
+        return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
+
+    per_section = reduce(DataFrame.union, parts).groupBy("section").agg(joined("name", "json").alias("json"))
+    return per_section.agg(joined("section", "json").alias("value"))
+
+
 def kpi_document(table: DataFrame, name: str) -> DataFrame:
     """A one-row KPI table as a JSON text."""
     return table.select(F.lit(name).alias("kpi"), F.to_json(F.struct("*")).alias("document"))

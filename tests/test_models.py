@@ -1,5 +1,7 @@
 """Splits, training, evaluation, persistence."""
 
+import json
+
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from editpulse.ml import models as M
 from editpulse.operators import kpis as K
 from editpulse.operators import sampling as SA
 from editpulse.plans import edits as E
+from editpulse.plans import pipeline as PL
+from editpulse.sources import tables as TB
 
 
 @pytest.fixture(scope="module")
@@ -97,6 +101,23 @@ def test_clusters_and_card(feats):
     assert [r.position for r in card.collect()] == [1, 3, 4, 5]
 
 
+def test_models_and_report_from_storage(spark, feats, tmp_path):
+    """Models are saved, read back in the report, and all sections are in one document."""
+    path = lambda n: str(tmp_path / n)
+    TB.write_features(feats, path("features"))
+    audit = PL.build_models(spark, path("features"), path("models"))
+    assert {(r.model, r.status) for r in audit.collect()} == {("bot", "LOADED"), ("edit_type", "LOADED"), ("clusters", "LOADED")}
+    PL.build_kpis(spark, path("features"), path("features"), path("kpis"), path("models"))
+    document = json.loads(spark.read.text(path("kpis/document")).first().value)
+    assert sorted(document) == ["bot_detection", "dataset", "edit_type", "edit_wars", "user_clustering"]
+    assert document["dataset"]["dataset"][0]["total_edits"] == feats.count()
+    assert sum(r["n"] for r in document["edit_type"]["confusion"]) == feats.count()
+    assert 0 <= document["bot_detection"]["metrics"][0]["auc_roc"] <= 1 and document["user_clustering"]["sizes"]
+    assert sorted(r.position for r in spark.read.json(path("kpis/summary_card")).collect()) == [1, 2, 3, 4, 5]
+    PL.build_kpis(spark, path("features"), path("features"), path("bare"), path("nowhere"))
+    assert sorted(json.loads(spark.read.text(path("bare/document")).first().value)) == ["dataset", "edit_wars"]
+
+
 def test_guards(feats):
     assert M.train_bot_model(feats.filter("is_bot = 0")) is None
     assert M.train_edit_type_model(feats.filter("edit_magnitude = 'small'")) is None
