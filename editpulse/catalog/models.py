@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from editpulse.catalog.aggregates import GUESSES, PROFILES, guesses, segments
-from editpulse.catalog.base import CHANGED, FEATURES, rounded, with_
+from editpulse.catalog.base import BUCKET, CHANGED, EDITS, FEATURES, rounded, with_
 from editpulse.ml import evaluation as EV
 from editpulse.ml import models as M
 from editpulse.operators import aggregates as A
@@ -89,6 +89,26 @@ def edit_type_test_rows(spark, d):
                        F.col("prediction").cast("int").alias("prediction"))
 
 
+def _sound(pred, classes):
+    """Whether the probabilities of a row sum to 1 and its class is the likeliest."""
+    p = vector_to_array("probability")
+    return ((F.size(p) == classes) & (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9)
+            & (F.element_at(p, F.col("prediction").cast("int") + 1) == F.array_max(p))).alias("sound")
+
+
+def bot_test_rows(spark, d):
+    """The rows held out of training, each soundly scored."""
+    _, pred = M.train_bot_model(E.feature_table(spark, d))
+    return pred.select("revid", "is_bot", _sound(pred, 2))
+
+
+def edit_type_labels(spark, d):
+    """Held-out rows with their class number by falling frequency; the model has
+    one class more, for values unseen in training."""
+    _, indexer, pred = M.train_edit_type_model(E.feature_table(spark, d))
+    return pred.select("revid", F.col("label").cast("int").alias("label"), _sound(pred, len(indexer.labels) + 1))
+
+
 def importances(spark, d):
     model, _ = M.train_bot_model(E.feature_table(spark, d))
     return rounded(EV.feature_importances(model, None))
@@ -195,7 +215,17 @@ QUERIES = {
     "cluster_kpis": (cluster_metrics, None),
     "cluster_centers": (centers, None),
     "gold_segmentation": (gold, None),
-    "audit_models": (audit, None),
+    "audit_models": (audit, """
+        SELECT 'clusters' AS model, 'LOADED' AS status, 'KMeansModel' AS detail
+        UNION ALL SELECT 'missing', 'ERROR', 'AnalysisException'"""),
+    "bot_test_rows": (bot_test_rows, with_(EDITS, """
+        SELECT revid, is_bot, true AS sound FROM (SELECT revid, is_bot,
+          row_number() OVER (PARTITION BY is_bot ORDER BY md5(cast(revid AS varchar)), revid) AS rn,
+          ceil(count(*) OVER (PARTITION BY is_bot) * 0.8::double) AS cut FROM edits) WHERE rn > cut""")),
+    "edit_type_test_labels": (edit_type_labels, with_(FEATURES, f"""
+        SELECT revid, label, true AS sound FROM features JOIN (
+          SELECT edit_magnitude, cast(row_number() OVER (ORDER BY count(*) DESC, edit_magnitude) - 1 AS int) AS label
+          FROM features GROUP BY edit_magnitude) USING (edit_magnitude) WHERE {BUCKET} >= 80""")),
     "save_load_model": (stored_model, with_(PROFILES, """
         SELECT count(*) AS users, cast(0 AS bigint) AS changed FROM profiles""")),
 }

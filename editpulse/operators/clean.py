@@ -91,14 +91,18 @@ def clean_revisions(bronze: DataFrame) -> DataFrame:
     return comment_columns(bool_flags(time_columns(rows)))
 
 
-def silver(bronze: DataFrame, *, max_rows: int | None = MAX_ROWS) -> DataFrame:
+def silver(bronze: DataFrame, *, max_rows: int | None = MAX_ROWS, parse_once: bool = False) -> DataFrame:
     """Bronze to silver in one lazy plan: two shuffles, by id and by page.
 
     The hot-page check counts bronze rows, before de-duplication, so it costs
     one narrow pass and no extra shuffle of whole rows. Where there are hot
     pages, the cleaned rows are read more than once and therefore stored.
+    With ``parse_once`` they are stored first and counted there: for raw JSON,
+    where a second pass costs more than writing the cleaned rows.
     """
     rows = clean_revisions(bronze)
+    if parse_once:
+        return silver_projection(size_change(stored(rows, "clean"), max_rows=max_rows))
     if not has_hot_keys(require_not_null(bronze), "page_title", max_rows):
         return silver_projection(size_change(rows, max_rows=None))
     return silver_projection(size_change(stored(rows, "clean"), max_rows=max_rows))

@@ -33,7 +33,7 @@ def land(spark: SparkSession, incoming: DataFrame, bronze_path: str, *,
 
 
 def build_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> DataFrame:
-    TB.write_silver(silver(read_bronze(spark, bronze_path)), silver_path)
+    TB.write_silver(silver(read_bronze(spark, bronze_path), parse_once=True), silver_path)
     return TB.read_table(spark, silver_path)
 
 
