@@ -8,6 +8,9 @@ owners or in more than ``max_repos`` repositories is a widely copied example, an
 other looks live. Base kinds (assign, access, hex) are always reported; further
 kinds only where they look live.
 
+A private key is reported from header to footer and hashed by its body; one cut off
+before the footer ends with its base64 lines, and a header without either is none.
+
 Counting goes by distinct (hash, owner, repository) and partial sums, so a value in
 a third of all rows costs a row per task. Texts are read once and not shuffled.
 
@@ -32,11 +35,12 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+_LABEL = "[A-Z ]*PRIVATE KEY-----"
 FURTHER = (
     ("bearer", r"(?i)bearer\x20+([A-Za-z0-9._~+/-]{20,512})", 1, 20),
     ("vendor", r"gh[opsru]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,80}|sk_live_[A-Za-z0-9]{16,64}|AIza[A-Za-z0-9_-]{35}", 0, 14),
     ("url", r"://[^\s/:@]{1,64}:([^\s/:@]{4,128})@", 1, 4),
-    ("key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 27),
+    ("key", f"-----BEGIN {_LABEL}((?>[\\s\\S]*?(?=-----))(?=-----END {_LABEL})|\\s*+[A-Za-z0-9+/=\\r\\n]{{40,}}+)(?:-----END {_LABEL})?+", 1, 1),
 )
 KINDS = BASE + FURTHER
 
