@@ -4,15 +4,17 @@ Each kind is one regular expression. Its matches are taken leftmost and without
 overlap; places follow from the lengths of the pieces between them (code points,
 end exclusive). A candidate's hash is then counted over the corpus by distinct
 owners and by distinct repositories: a value found with more than ``max_owners``
-owners or in more than ``max_repos`` repositories is a widely copied example, any
-other looks live. Base kinds (assign, access, hex) are always reported; further
-kinds only where they look live.
+owners, or with several owners in more than ``max_repos`` repositories, is a widely
+copied example; any other looks live, and so does a value of one owner however
+often it stands there. Base kinds (assign, access, hex) are always reported; further
+kinds only where they look live. Where the table names no repositories, distinct
+texts are counted for them, so that copies of one document are one.
 
 A private key is reported from header to footer and hashed by its body; one cut off
 before the footer ends with its base64 lines, and a header without either is none.
 
-Counting goes by distinct (hash, owner, repository) and partial sums, so a value in
-a third of all rows costs a row per task. Texts are read once and not shuffled.
+Counting goes by distinct (hash, owner), (hash, repository) and partial sums, so a
+value in a third of all rows costs a row per task. Texts are read once and not shuffled.
 
 A null text is empty and has no secrets; a null owner or repository is one of its
 own; repeated rows are one repository but rows of their own in the result. Further
@@ -87,24 +89,25 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(row_no, doc_id, owner, repo, found): every candidate of every text, kept
     in the shared folder without the texts."""
     c = lambda name: F.col(f"`{name}`")
-    text = F.coalesce(c(text_col), F.lit(""))
+    text, owner = F.coalesce(c(text_col), F.lit("")), c(owner_col).cast("string")
+    repo = F.to_json(F.struct(owner.alias("o"), c(repo_col).cast("string").alias("r"))) if repo_col else F.sha2(text.cast("binary"), 256)
     return stored(docs.select(
-        F.monotonically_increasing_id().alias("row_no"), c(id_col).alias("doc_id"), c(owner_col).cast("string").alias("owner"),
-        c(repo_col or id_col).cast("string").alias("repo"), F.concat(*[_spans(text, i) for i in range(len(KINDS))]).alias("found")), "secret-candidates")
+        F.monotonically_increasing_id().alias("row_no"), c(id_col).alias("doc_id"), owner.alias("owner"),
+        repo.alias("repo"), F.concat(*[_spans(text, i) for i in range(len(KINDS))]).alias("found")), "secret-candidates")
 
 
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, owners, repos): distinct owners and repositories of each value."""
     each = found.select(F.explode("found").alias("x"), "owner", "repo").select("x.hash", "owner", "repo").distinct()
-    by_owner = each.groupBy("hash", "owner").agg(F.count("*").alias("repos"))
-    return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    count = lambda what: each.select("hash", what).distinct().groupBy("hash").agg(F.count("*").alias(f"{what}s"))
+    return count("owner").join(count("repo"), "hash")
 
 
 def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS, **columns) -> DataFrame:
     """One row per document: counts and digest of the base spans, all spans, and
     how many of them look live or are widely copied."""
     found = candidates(docs, **columns)
-    live = ownership(found).select("hash", ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).alias("live"))
+    live = ownership(found).select("hash", ((F.col("owners") == 1) | ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))).alias("live"))
     judged = found.filter("size(found) > 0").select("row_no", "doc_id", F.explode("found").alias("x")).select("row_no", "doc_id", "x.*").join(live, "hash")
     rows = judged.groupBy("row_no").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("s"))
     empty = found.filter("size(found) = 0").select("row_no", "doc_id", F.array().cast(rows.schema["s"].dataType).alias("s"))

@@ -1,4 +1,4 @@
-"""Private keys by their body."""
+"""Private keys by their body, ownership by owners first."""
 
 import random
 import string
@@ -37,3 +37,14 @@ def test_private_keys_of_many_owners(spark):
 def test_many_headers_without_footer(spark):
     text = "-----BEGIN PRIVATE KEY----- " * 20000
     assert scanned(spark, [(1, text, "s")])[1].spans == ""
+
+
+def test_one_owner_in_many_documents(spark):
+    own, two, copies = ("bearer " + c * 30 for c in "qrs")
+    rows = [(i, f"{own} number {i}", "a") for i in range(15)]
+    rows += [(100 + i, f"{two} number {i}", f"b{i % 2}") for i in range(15)]
+    rows += [(200 + i, copies, f"c{i % 2}") for i in range(15)]
+    found = scanned(spark, rows)
+    assert all(found[i].spans == f"bearer:0:{len(own)}" for i in range(15))
+    assert all(found[100 + i].spans == "" and found[100 + i].n_copied == 1 for i in range(15))
+    assert all(found[200 + i].spans == f"bearer:0:{len(copies)}" for i in range(15))
