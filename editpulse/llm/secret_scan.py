@@ -39,9 +39,9 @@ BASE = (
 )
 _LABEL = "[A-Z ]*PRIVATE KEY-----"
 FURTHER = (
-    ("bearer", r"(?i)bearer\x20+([A-Za-z0-9._~+/-]{20,512})", 1, 20),
-    ("vendor", r"gh[opsru]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,80}|sk_live_[A-Za-z0-9]{16,64}|AIza[A-Za-z0-9_-]{35}", 0, 14),
-    ("url", r"://[^\s/:@]{1,64}:([^\s/:@]{4,128})@", 1, 4),
+    ("bearer", r"(?i)bearer\x20+([A-Za-z0-9._~+/-]{20,}+)", 1, 20),
+    ("vendor", r"gh[opsru]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35,}+", 0, 14),
+    ("url", r"://[^\s/:@]++:([^\s/:@]{4,}+)@", 1, 4),
     ("key", f"-----BEGIN {_LABEL}((?>[\\s\\S]*?(?=-----))(?=-----END {_LABEL})|\\s*+[A-Za-z0-9+/=\\r\\n]{{40,}}+)(?:-----END {_LABEL})?+", 1, 1),
 )
 KINDS = BASE + FURTHER

@@ -1,8 +1,10 @@
-"""Private keys by their body, ownership by owners first."""
+"""Private keys by their body, ownership by owners first, tokens of any length."""
 
 import random
 import string
 
+import pytest
+
 from editpulse.llm import secret_scan
 
 SCHEMA = "doc_id bigint, text string, source string"
@@ -48,3 +50,15 @@ def test_one_owner_in_many_documents(spark):
     assert all(found[i].spans == f"bearer:0:{len(own)}" for i in range(15))
     assert all(found[100 + i].spans == "" and found[100 + i].n_copied == 1 for i in range(15))
     assert all(found[200 + i].spans == f"bearer:0:{len(copies)}" for i in range(15))
+
+
+@pytest.mark.parametrize("n", [64, 1000, 5000])
+def test_long_tokens(spark, n):
+    kinds = {"bearer": "bearer {}", "vendor": "sk_live_{}", "url": "://{}:pass{}@"}
+    rows = []
+    for k, form in enumerate((*kinds.values(), "xoxb-{}", "ghp_{}", "AIza{}")):
+        # different tokens of many owners with one prefix
+        rows += [(10 * k + i, form.format("x" * n + str(i), "z" * n + str(i)), f"owner{i}") for i in range(4)]
+    found = scanned(spark, rows)
+    name = [*kinds, "vendor", "vendor", "vendor"]
+    assert all(found[d].spans == f"{name[d // 10]}:0:{len(t)}" and found[d].n_live == 1 for d, t, _ in rows)
