@@ -72,7 +72,16 @@ class Vocabulary:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            source = json.load(f)
+            self._read(f.read())
+
+    @classmethod
+    def from_text(cls, raw: str) -> Vocabulary:
+        made = cls.__new__(cls)
+        made._read(raw)
+        return made
+
+    def _read(self, raw: str) -> None:
+        source = json.loads(raw)
         back = {c: b for b, c in byte_characters().items()}
         spelt = {token: bytes(back[c] for c in token) for token in source["model"]["vocab"]}
         ids = {spelt[token]: i for token, i in source["model"]["vocab"].items()}

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from editpulse.llm import bpe, chat, decontamination, exact_dedup, langid, licenses, lines, quality, secret_scan, simhash
+from editpulse.llm import alignment, anomaly, bpe, chat, decontamination, exact_dedup, langid, licenses, lines, quality, repair, secret_scan, simhash
 from editpulse.llm.text import table
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def documents(spark, d):
@@ -69,6 +69,19 @@ def op10_secrets(spark, d):
     return secret_scan.scan(documents(spark, d))
 
 
+def op11_alignment(spark, d):
+    return alignment.align(documents(spark, d), vocabulary_path(), vocabulary_path(PIECES))
+
+
+def op12_rules(spark, d):
+    return anomaly.judge(documents(spark, d), table(spark, d, "labels"))
+
+
+def op13_repair(spark, d):
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(repair.damage(turns), known=turns)
+
+
 def pipeline(spark, d):
     import corpus_pipeline
     return corpus_pipeline.run(spark, d)
@@ -120,5 +133,8 @@ QUERIES = {
     "op8_simhash": (op8_simhash, None),
     "op9_quality": (op9_quality, None),
     "op10_secrets": (op10_secrets, None),
+    "op11_alignment": (op11_alignment, None),
+    "op12_rules": (op12_rules, None),
+    "op13_repair": (op13_repair, None),
     "pipeline": (pipeline, None),
 }

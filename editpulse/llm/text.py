@@ -140,14 +140,18 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One output batch for each input batch; rows never leave their task.
-    Batches are held to BATCH_BYTES (unless the session already asks for less),
-    as texts are long and every task holds a few batches at once."""
+def limit_batches(spark) -> None:
+    """Hold Arrow batches to BATCH_BYTES, unless the session already asks for
+    less: texts are long, and every task holds a few batches at once."""
     for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
-        now = int(re.match(r"-?\d+", df.sparkSession.conf.get(key))[0])
+        now = int(re.match(r"-?\d+", spark.conf.get(key))[0])
         if now <= 0 or now > most:
-            df.sparkSession.conf.set(key, str(most))
+            spark.conf.set(key, str(most))
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """One output batch for each input batch; rows never leave their task."""
+    limit_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:
