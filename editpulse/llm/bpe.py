@@ -7,10 +7,11 @@ is merged over a contiguous rank array: part boundaries and the rank of each
 adjacent pair; scan for the least rank, delete that boundary, refresh the two
 neighbouring ranks. Words of over LONG_WORD bytes use a heap over the same parts
 (the scan is quadratic), with equal results. Encoded words are kept in a bounded
-table per worker.
+table per worker, each with its ids, their decimal text and the bytes the ids spell.
 
 A null text is empty and has no tokens. Every row is encoded by itself, so
-repeated rows and ties need no rule.
+repeated rows and ties need no rule. An empty table gives no rows, and further
+columns do not matter. A text of any length is encoded whole, in a few times its size.
 """
 
 from __future__ import annotations
@@ -30,16 +31,19 @@ from pyspark.sql import functions as F
 from editpulse.llm import text as X
 
 LONG_WORD = 96
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+#: A pair of ids, and a rank with the id it makes, are one integer each.
+ID_BITS = 24
+ID_MASK, NO_RANK = (1 << ID_BITS) - 1, 1 << 60
 
 # Unicode White_Space.
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def _ranges(letter: str) -> str:
+def _ranges(letter: str, last_code: int) -> str:
     """A character class of all code points whose category starts with ``letter``."""
     out, first, last = [], None, None
-    for code in range(sys.maxunicode + 1):
+    for code in range(last_code + 1):
         if unicodedata.category(chr(code))[0] == letter:
             if last != code - 1:
                 if first is not None:
@@ -50,9 +54,10 @@ def _ranges(letter: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-def word_pattern() -> re.Pattern:
-    """The vocabulary's published pattern, with \\p{L}, \\p{N} and \\s spelt out."""
-    letter, number = _ranges("L"), _ranges("N")
+def word_pattern(last_code: int = sys.maxunicode) -> re.Pattern:
+    """The vocabulary's published pattern, with \\p{L}, \\p{N} and \\s spelt out for
+    texts of code points up to ``last_code``; small classes match much faster."""
+    letter, number = _ranges("L", last_code), _ranges("N", last_code)
     return re.compile(
         f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{SPACES}{letter}{number}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
@@ -91,81 +96,100 @@ class Vocabulary:
         self.pairs = {}
         for rank, merge in enumerate(source["model"]["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.pairs[ids[spelt[a]], ids[spelt[b]]] = (rank, ids[spelt[a] + spelt[b]])
+            self.pairs[ids[spelt[a]] << ID_BITS | ids[spelt[b]]] = rank << ID_BITS | ids[spelt[a] + spelt[b]]
 
 
-NO_RANK = (1 << 60, -1)
-
-
-def merge_short(parts: list[int], pairs: dict) -> list[int]:
+def merge_short(parts: list[int], pairs: dict[int, int]) -> list[int]:
     """Repeatedly join the leftmost pair of least rank."""
-    ranks = [pairs.get(p, NO_RANK) for p in zip(parts, parts[1:])]
+    ranks = [pairs.get(a << ID_BITS | b, NO_RANK) for a, b in zip(parts, parts[1:])]
     while ranks:
         best = min(ranks)
-        if best[1] < 0:
+        if best == NO_RANK:
             break
         i = ranks.index(best)
-        parts[i] = best[1]
+        parts[i] = best & ID_MASK
         del parts[i + 1], ranks[i]
         if i < len(ranks):
-            ranks[i] = pairs.get((parts[i], parts[i + 1]), NO_RANK)
+            ranks[i] = pairs.get(parts[i] << ID_BITS | parts[i + 1], NO_RANK)
         if i:
-            ranks[i - 1] = pairs.get((parts[i - 1], parts[i]), NO_RANK)
+            ranks[i - 1] = pairs.get(parts[i - 1] << ID_BITS | parts[i], NO_RANK)
     return parts
 
 
-def merge_long(parts: list[int], pairs: dict) -> list[int]:
+def merge_long(parts: list[int], pairs: dict[int, int]) -> list[int]:
     """The same joins from a heap of (rank, place), over a linked list."""
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(*pairs[p], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in pairs]
-    heap = [(rank, i, a, b, new) for rank, new, i, a, b in heap]
+    heap = [(pairs[p], i, p) for i, p in enumerate(a << ID_BITS | b for a, b in zip(parts, parts[1:])) if p in pairs]
     heapq.heapify(heap)
     while heap:
-        _, i, a, b, new = heapq.heappop(heap)
+        best, i, pair = heapq.heappop(heap)
         j = after[i]
-        if parts[i] != a or j >= n or parts[j] != b:
+        if j >= n or parts[i] << ID_BITS | parts[j] != pair or parts[i] < 0:
             continue
-        parts[i], parts[j] = new, -1
+        parts[i], parts[j] = best & ID_MASK, -1
         after[i] = after[j]
         if after[i] < n:
             before[after[i]] = i
         for x in (before[i], i):
-            if x >= 0 and after[x] < n and (p := (parts[x], parts[after[x]])) in pairs:
-                rank, joined = pairs[p]
-                heapq.heappush(heap, (rank, x, *p, joined))
+            if x >= 0 and after[x] < n and (p := parts[x] << ID_BITS | parts[after[x]]) in pairs:
+                heapq.heappush(heap, (pairs[p], x, p))
     return [p for p in parts if p >= 0]
 
 
+#: What a word becomes: its ids (32 bit, little-endian), their decimal text with
+#: a comma after each, and the bytes they spell. A plain tuple, which the garbage
+#: collector does not have to visit.
+Word = tuple[bytes, str, bytes]
+
+
 class Encoder(dict):
-    """word → ids as little-endian 32-bit bytes; filled on first use."""
+    """word → Word; filled on first use. Words not met since the table was last
+    half full leave it."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.v, self.pattern = vocabulary, word_pattern()
+        self.v, self.older = vocabulary, {}
+        self.pattern, self.latin = word_pattern(), word_pattern(0xFF)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self.spelling = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
-
-    def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        parts = [self.v.single[b] for b in raw]
-        merged = (merge_short if len(raw) <= LONG_WORD else merge_long)(parts, self.v.pairs)
-        out = np.array(merged, "<u4").tobytes()
-        if len(raw) <= LONG_WORD:
-            self[word] = out
-        return out
-
-    def encode(self, text: str) -> np.ndarray:
-        if len(self) > CACHE_WORDS:
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.spelling))]
+        self.written = [f"{i}," for i in range(len(self.spelling))]
+
+    def _word(self, ids: list[int]) -> Word:
+        pick = lambda table: map(table.__getitem__, ids)
+        return b"".join(pick(self.packed)), "".join(pick(self.written)), b"".join(pick(self.spelling))
+
+    def __missing__(self, word: str) -> Word:
+        found = self.older.get(word)
+        if found is None:
+            raw = word.encode()
+            merge = merge_short if len(raw) <= LONG_WORD else merge_long
+            found = self._word(merge([self.v.single[b] for b in raw], self.v.pairs))
+            if len(raw) > LONG_WORD:
+                return found
+        if len(self) >= CACHE_WORDS // 2:
+            self.older = dict(self)
             self.clear()
+        self[word] = found
+        return found
+
+    def words(self, text: str) -> list[Word]:
         pieces = [text] if self.cut is None else self.cut.split(text)
+        try:
+            pattern = self.latin if text.isascii() or text.encode("latin-1") else self.pattern
+        except UnicodeEncodeError:
+            pattern = self.pattern
         out = []
         for k, piece in enumerate(pieces):
             if k % 2:
-                out.append(np.array([self.v.special[piece]], "<u4").tobytes())
+                out.append(self._word([self.v.special[piece]]))
             elif piece:
-                out.extend(map(self.__getitem__, self.pattern.findall(piece)))
-        return np.frombuffer(b"".join(out), "<u4")
+                out.extend(map(self.__getitem__, pattern.findall(piece)))
+        return out
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([ids for ids, _, _ in self.words(text)]), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.spelling.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -190,13 +214,14 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = _encoder(held)
         n, sha, decoded, ids = [], [], [], []
-        for text in batch.column(1):
-            found = coder.encode(text.as_py() or "")
-            n.append(len(found))
-            sha.append(hashlib.sha256(str(found.tolist())[1:-1].replace(" ", "").encode()).hexdigest())
-            decoded.append(hashlib.sha256(coder.decode(found).encode()).hexdigest())
+        for text in batch.column(1).to_pylist():
+            spelt, written, raw = zip(*coder.words(text)) if text else ((), (), ())
+            packed = b"".join(spelt)
+            n.append(len(packed) // 4)
+            sha.append(hashlib.sha256("".join(written)[:-1].encode()).hexdigest())
+            decoded.append(hashlib.sha256(b"".join(raw).decode("utf-8", "replace").encode()).hexdigest())
             if with_ids:
-                ids.append(found.astype(np.int32))
+                ids.append(np.frombuffer(packed, "<i4"))
         columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(decoded, pa.string())]
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         if with_ids:
