@@ -9,7 +9,7 @@ from editpulse.operators.clean import silver
 from editpulse.plans import edits as E
 from editpulse.plans.reports import quality_report
 from editpulse.session import scratch_dir
-from editpulse.sources.bronze import parse_records, read_lines, read_mixed
+from editpulse.sources.bronze import parse_records, read_bronze, read_lines
 
 
 def raw(fn):
@@ -44,7 +44,7 @@ def file_audit(spark, d):
 
 def mixed(spark, d):
     """Lines and arrays give all records, broken and blank files none."""
-    return rounded(read_mixed(spark, f"{stored_files(spark, d)}/*/part-*"))
+    return rounded(read_bronze(spark, f"{stored_files(spark, d)}/*/part-*"))
 
 
 def progress(spark, d):

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editpulse.functions.scalars import percent
 from editpulse.operators.aggregates import n_rows
 from editpulse.schemas import REQUIRED
+from editpulse.session import stored
+from editpulse.sources.arrays import array_records, heads, of_files
 
 # Limits of the audit's recommendations.
 MIN_VALID_RECORDS = 10_000
@@ -74,43 +77,37 @@ def _json_ok(text) -> Column:
 def file_audit(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
     """One row per file: array_file, ndjson, empty or corrupt.
 
-    One rule for files of every size, by their lines and a streaming parser; no
-    file is held as one string. Readers skip files of zero bytes; pass
-    ``listed`` (column ``file``) to have them reported as empty.
+    One scan tells where a file begins and whether it has lines. Files that begin with a
+    bracket are cut into records wherever they are split (see ``sources.arrays``); the
+    others, and those that are no arrays, are judged by their lines. Readers skip files
+    of zero bytes; pass ``listed`` (column ``file``) to have them reported as empty.
     """
-    name = F.col("_metadata.file_path").alias("file")
-    at = F.struct(F.col("_start"), F.col("_at"))
-    line = F.regexp_replace("value", r"^\s+|\s+$", "")
-    by_line = (
-        spark.read.text(path)
-        .select(name, line.alias("_line"), F.col("_metadata.file_block_start").alias("_start"),
-                F.monotonically_increasing_id().alias("_at"))
-        .groupBy("file")
-        .agg(F.count_if(F.col("_line") != "").alias("_lines"),
-             F.max(_json_ok(F.col("_line"))).alias("_any"),
-             F.min_by(F.struct(F.substring("_line", 1, 1).alias("begin"), _json_ok(F.col("_line")).alias("ok")),
-                      F.when(F.col("_line") != "", at)).alias("_head"),
-             F.max_by(F.substring("_line", -1, 1), F.when(F.col("_line") != "", at)).alias("_tail"))
-    )
-    # The multi-line reader streams through a file and yields nothing for a
-    # malformed one. An array is whole if it also fills its file.
-    arrays = (
-        spark.read.schema("revid string").option("multiLine", True).option("mode", "DROPMALFORMED")
-        .json(path).select(name).distinct().withColumn("_parsed", F.lit(True))
-    )
-    fills = (F.col("_head.begin") == "[") & (F.col("_tail") == "]") & (
-        (F.col("_lines") == 1) | ~F.col("_head.ok"))
-    out = by_line.join(arrays, "file", "left").select(
-        "file",
-        F.when(F.col("_lines") == 0, "empty")
-        .when(fills & F.coalesce("_parsed", F.lit(False)), "array_file")
-        .when(F.col("_any"), "ndjson")
-        .otherwise("corrupt").alias("format"))
+    found = stored(heads(spark, path), "file-heads")
+    empty = found.filter("begin IS NULL AND pieces = 1").select("file", F.lit("empty").alias("format"))
+    _, arrays = array_records(spark, path, bracketed(found), T.StructType().add("revid", "string"))
+    arrays = stored(arrays.select("file", F.lit("array_file").alias("format")), "array-files")
+    line = F.btrim(F.col("value"), F.lit(" \t\r\n"))
+    rest = found.join(arrays, "file", "left_anti").join(empty, "file", "left_anti")
+    by_line = of_files(
+        spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")), [r.file for r in rest.filter(LINES).select("file").collect()]
+    ).groupBy("file").agg(F.max(_json_ok(line)).alias("any"))
+    out = rest.join(by_line, "file", "left").select("file", F.when(F.col("any"), "ndjson").otherwise("corrupt").alias("format"))
+    out = out.unionByName(arrays).unionByName(empty)
     if listed is not None:
         out = listed.select("file").join(out, "file", "left").fillna("empty", subset=["format"])
     return out
 
 
+#: Files that may hold records by line: not those of many pieces on a single line
+#: that begin with a bracket, whose one line is the whole array.
+LINES = "begin IS NOT NULL AND (begin <> '[' OR lines OR pieces = 1)"
+
+
+def bracketed(found: DataFrame) -> list[str]:
+    """Names of the files that begin like an array of records."""
+    return [r.file for r in found.filter("begin = '[' AND pieces > 1").select("file").collect()]
+
+
 def file_format_counts(audit: DataFrame) -> DataFrame:
     return audit.groupBy("format").agg(n_rows().alias("files"))
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editpulse.operators.quality import file_audit
+from editpulse.operators.quality import LINES, bracketed
 from editpulse.schemas import BRONZE
+from editpulse.session import stored
+from editpulse.sources.arrays import array_records, heads, of_files
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,23 +43,18 @@ def parse_records(lines: DataFrame, *, value_col: str = "value",
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Records of array files and newline-delimited files alike."""
-    return parse_records(read_lines(spark, path))
-
-
-def read_whole_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Records of files whose JSON array spans many lines."""
-    return spark.read.schema(BRONZE).option("multiLine", True).json(path)
-
-
-def read_mixed(spark: SparkSession, path: str) -> DataFrame:
-    """Records of lines, one-line arrays and arrays that span lines, each file
-    read the way its audit says; none is read twice or left out."""
-    arrays = file_audit(spark, path).filter("format = 'array_file'").select("file")
-    whole = spark.read.schema(BRONZE).option("multiLine", True).json(path).select(
-        "*", F.col("_metadata.file_path").alias("file"))
-    lines = read_lines(spark, path).join(arrays, "file", "left_anti")
-    return whole.join(arrays, "file", "left_semi").drop("file").unionByName(parse_records(lines))
+    """Records of lines, one-line arrays and arrays that span lines, each file read
+    once the way it begins; none is read twice or left out. Arrays are cut into
+    records by all tasks that read a part of them."""
+    found = stored(heads(spark, path), "file-heads")
+    candidates = bracketed(found)
+    by_line = found.filter(LINES)
+    if not candidates:
+        return parse_records(of_files(read_lines(spark, path), [r.file for r in by_line.select("file").collect()]))
+    records, arrays = array_records(spark, path, candidates, BRONZE)
+    by_line = by_line.join(arrays, "file", "left_anti")
+    lines = of_files(read_lines(spark, path), [r.file for r in by_line.select("file").collect()])
+    return records.filter("r IS NOT NULL").select("r.*").unionByName(parse_records(lines))
 
 
 def write_batches(df: DataFrame, path: str, *, batch_size: int = 100_000,

@@ -10,6 +10,7 @@ from editpulse.operators import quality as Q
 from editpulse.operators.joins import new_revisions
 from editpulse.plans import pipeline as PL
 from editpulse.schemas import ALL_FEATURES, BRONZE
+from editpulse.sources import arrays as A
 from editpulse.sources import bronze as B
 from editpulse.sources import payloads as P
 from editpulse.sources import tables as TB
@@ -38,14 +39,98 @@ def files(tmp_path_factory):
 
 
 def test_line_reader(spark, files):
-    rows = B.read_bronze(spark, f"{files}/*.json")
+    rows = B.parse_records(B.read_lines(spark, f"{files}/*.json"))
     assert rows.schema == BRONZE
     assert sorted(r.revid for r in rows.filter("revid is not null").collect()) == [1, 2, 3, 4, 5, 9]
 
 
-def test_whole_array_reader(spark, files):
-    rows = B.read_whole_arrays(spark, f"{files}/pretty.json")
-    assert sorted(r.revid for r in rows.collect()) == [6, 7]
+def test_bronze_reads_every_format(spark, files):
+    rows = B.read_bronze(spark, f"{files}/*.json")
+    assert rows.schema == BRONZE
+    assert sorted(r.revid for r in rows.filter("revid is not null").collect()) == [1, 2, 3, 4, 5, 6, 7, 9]
+    assert B.read_bronze(spark, f"{files}/blank.json").count() == 0
+
+
+NASTY = ['}{', '"', '\\', '\\"', '[{]}', '\n', 'é}😀{', '},{"revid": 99}', '', ' ', '\\}']
+
+
+def nasty_records(n):
+    """Records whose texts are full of braces, quotes and escapes; some nested."""
+    return [record(i, comment=NASTY[i % len(NASTY)] * (1 + i % 3), tags=[NASTY[(i * 7) % len(NASTY)]] * (i % 3), more={"a": [{"b": "}"}, {}], "c": {"d": {}}} if i % 4 == 0 else 1) for i in range(n)]
+
+
+@pytest.mark.parametrize("split", [700, 5000, 1 << 20])
+def test_arrays_in_any_split(spark, tmp_path, split):
+    """Records come out whole wherever the splits fall: one-line and pretty arrays."""
+    rows = nasty_records(44)
+    (tmp_path / "one.json").write_text(json.dumps(rows, ensure_ascii=False))
+    (tmp_path / "pretty.json").write_text("  \n" + json.dumps([dict(r, revid=r["revid"] + 1000) for r in rows], indent=3) + "\n\n")
+    (tmp_path / "tight.json").write_text(json.dumps([dict(r, revid=r["revid"] + 2000) for r in rows], separators=(",", ":")))
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(r) for r in [record(5000), record(5001)]))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r.revid: r for r in B.read_bronze(spark, f"{tmp_path}/*.json").collect()}
+        formats = {r.file.rsplit("/", 1)[-1]: r.format for r in Q.file_audit(spark, f"{tmp_path}/*.json").collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert formats == {"one.json": "array_file", "pretty.json": "array_file", "tight.json": "array_file", "lines.json": "ndjson"}
+    assert len(got) == 3 * 44 + 2
+    for i, r in enumerate(rows):
+        for base in (0, 1000, 2000):
+            assert (got[i + base].comment, got[i + base].tags) == (r["comment"], r["tags"])
+
+
+def test_one_array_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "big.json").write_text(json.dumps([record(i, comment="}{" * 20) for i in range(4000)]))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(-(-(tmp_path / "big.json").stat().st_size // 8)))
+    try:
+        parts = A.pieces(spark, f"{tmp_path}/big.json")
+        sizes = parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.length("value")).alias("longest")).collect()
+        assert len(sizes) == 8 and max(r.n for r in sizes) < 4000 * 21 / 6 and max(r.longest for r in sizes) < 300
+        assert B.read_bronze(spark, f"{tmp_path}/big.json").agg(F.count("*"), F.sum("revid")).first()[:] == (4000, 4000 * 3999 // 2)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+BROKEN = {
+    "cut": lambda t: t[:-30], "no end": lambda t: t[:-1], "rest": lambda t: t + " x", "brace": lambda t: t + "}", "twice": lambda t: t + t, "comma": lambda t: t[:-1] + ",]",
+    "no comma": lambda t: t.replace("}, {", "} {", 1), "quote": lambda t: t.replace('"user"', 'user"', 1), "nested": lambda t: f"[{t}]", "number": lambda t: "[1, " + t[1:],
+    "colon": lambda t: t.replace(":", ";", 1), "word": lambda t: t[:-1] + ", null]", "late quote": lambda t: t[: len(t) // 2] + '"' + t[len(t) // 2 :],
+}
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_broken_arrays_give_nothing(spark, tmp_path, indent):
+    """Beside a sound file, which is read whole."""
+    text = json.dumps([record(i) for i in range(20)], indent=indent)
+    if indent:
+        text = text.replace("},\n {", "}, {")
+    (tmp_path / "sound.json").write_text(text)
+    for how, damage in BROKEN.items():
+        (tmp_path / f"{how}.json").write_text(damage(text))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        assert sorted(r.revid for r in B.read_bronze(spark, f"{tmp_path}/*.json").collect()) == list(range(20))
+        formats = {r.file.rsplit("/", 1)[-1]: r.format for r in Q.file_audit(spark, f"{tmp_path}/*.json").collect()}
+        assert formats.pop("sound.json") == "array_file" and len(formats) == len(BROKEN) and set(formats.values()) == {"corrupt"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_pipeline_reads_arrays_over_lines(spark, tmp_path):
+    """Silver holds the records of arrays over many lines, and a second landing of
+    the same revisions adds none."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([record(1), record(2)], indent=2))
+    assert sorted(r.revid for r in PL.build_silver(spark, f"{tmp_path}/in/*.json", f"{tmp_path}/silver").collect()) == [1, 2]
+    incoming = spark.createDataFrame([tuple(record(i).values()) for i in (2, 3)], BRONZE)
+    PL.land(spark, incoming, f"{tmp_path}/in")
+    assert sorted(r.revid for r in B.read_bronze(spark, f"{tmp_path}/in").collect()) == [1, 2, 3]
 
 
 def test_wrong_type_keeps_the_record(spark):
