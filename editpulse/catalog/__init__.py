@@ -2,10 +2,10 @@
 must give the same rows where SQL can state it."""
 
 from editpulse.catalog import (
-    aggregates, features, kpis, models, quality, rows, sources, streams, tables,
+    aggregates, features, history, kpis, models, quality, rows, sources, streams, tables,
 )
 
-MODULES = (sources, rows, aggregates, features, kpis, quality, streams, models, tables)
+MODULES = (sources, rows, aggregates, features, kpis, quality, streams, history, models, tables)
 
 
 def queries():

@@ -7,7 +7,9 @@ from editpulse.catalog.sources import fields
 from editpulse.plans import edits as E
 from editpulse.session import scratch_dir
 from editpulse.sources.bronze import write_batches
+from editpulse.streaming import compaction as CO
 from editpulse.streaming import events as SE
+from editpulse.streaming import late as LT
 from editpulse.streaming import sinks as SK
 
 
@@ -123,9 +125,63 @@ def unique_editors(spark, d):
 
 
 def sketched(spark, d):
+    """Sketches of five-minute windows from a stream, rolled up to hours and then
+    days; the estimates beside exact counts of the same windows."""
+    path = scratch_dir(spark, "sketches")
+    SK.run_available(SK.append_writer(SE.page_sketches(live_edits(spark, d)), f"{path}/rows", f"{path}/checkpoint"))
+    closed = spark.read.parquet(f"{path}/rows")
+    days = SE.sketch_estimates(SE.merged_sketches(SE.merged_sketches(closed, "1 hour"), "1 day"))
+    edits = E.edits(spark, d).withColumn("five", F.window("timestamp", "5 minutes")).join(
+        closed.select(F.col("window").alias("five"), "page_title"), ["five", "page_title"], "left_semi")
+    exact = edits.groupBy(F.window("timestamp", "1 day").alias("window"), "page_title").agg(F.count_distinct("user").alias("unique_editors"))
+    both = days.join(exact, ["window", "page_title"], "full")
+    right = SE.within_error(F.col("approx_editors"), F.col("unique_editors"))
+    return flat(both.withColumn("within_error", F.coalesce(right, F.lit(False))).drop("approx_editors"))
+
+
+def approximate(spark, d):
+    """One-step counts for update mode: the estimate within its stated error."""
     edits = E.edits(spark, d)
-    return flat(SE.page_counts_approx(edits, window="1 day")).select(
-        "window_start", "page_title", "edit_count")
+    approx = SE.page_counts_approx(edits, window="1 day", rsd=0.02)
+    exact = edits.groupBy(F.window("timestamp", "1 day").alias("window"), "page_title").agg(F.count_distinct("user").alias("unique_editors"))
+    near = F.abs(F.col("approx_editors") - F.col("unique_editors")) <= F.ceil(3 * 0.02 * F.col("unique_editors"))
+    return flat(approx.join(exact, ["window", "page_title"], "full").withColumn("within_error", F.coalesce(near, F.lit(False))).drop("approx_editors"))
+
+
+def compacted(spark, d):
+    """The update store folded after each of five deliveries, the last one late."""
+    path = scratch_dir(spark, "compacted")
+    schema, keys = E.table(spark, d, "events").schema, ["window", "page_title", "user"]
+    shape = SE.editor_counts(E.edits(spark, d).withColumnRenamed("size_bytes", "size")).schema
+    for i, part in enumerate(arriving(spark, d)):
+        part.write.parquet(f"{path}/in/part={i}")
+        edits = E.edits_of(spark.readStream.schema(schema).parquet(f"{path}/in/part=*")).withColumnRenamed("size_bytes", "size")
+        query = SK.run_available(SK.update_writer(SE.editor_counts(edits), f"{path}/rows", f"{path}/checkpoint"))
+        CO.compact_updates(spark, f"{path}/rows", f"{path}/store", shape, CO.watermark_of(query), keys=keys)
+    return flat(SE.roll_up(CO.compacted_updates(spark, f"{path}/rows", f"{path}/store", shape, keys=keys)))
+
+
+def late_kept(spark, d):
+    """Every row of five deliveries, marked late or not, and the counts observed."""
+    path = scratch_dir(spark, "late")
+    schema = E.table(spark, d, "events").schema
+    for i, part in enumerate(arriving(spark, d)):
+        part.write.parquet(f"{path}/in/part={i}")
+        edits = E.edits_of(spark.readStream.schema(schema).parquet(f"{path}/in/part=*"))
+        SK.run_available(LT.late_writer(edits, f"{path}/out", f"{path}/checkpoint"))
+    rows = LT.late_rows(spark, f"{path}/out").select("revid", F.lit(1).alias("is_late")).unionByName(
+        LT.late_rows(spark, f"{path}/out", late=False).select("revid", F.lit(0).alias("is_late")))
+    seen = LT.seen_batches(spark, f"{path}/out").agg(F.sum("n_rows").alias("counted"), F.sum("n_late").alias("counted_late"))
+    return rows.crossJoin(F.broadcast(seen))
+
+
+def bounded(spark, d):
+    """A run that ends by itself after a time, and one that goes on from there."""
+    path = scratch_dir(spark, "bounded")
+    writer = lambda: SK.update_writer(SE.editor_counts(live_edits(spark, d)), f"{path}/rows", f"{path}/checkpoint")
+    SK.run_bounded(writer(), 8)
+    SK.run_available(writer())
+    return flat(SK.current_page_counts(spark, f"{path}/rows"))
 
 
 _WINDOWS = EDITS + """, windows AS (
@@ -169,5 +225,17 @@ QUERIES = {
         FROM bronze""")),
     "tumbling_counts_sketched": (sketched, with_(EDITS, """
         SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, page_title,
-               count(*) AS edit_count FROM edits GROUP BY ALL""")),
+               count(*) AS edit_count, count(DISTINCT usr) AS unique_editors, true AS within_error
+        FROM edits WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <=
+          (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE
+        GROUP BY ALL""")),
+    "tumbling_counts_approx": (approximate, with_(EDITS, """
+        SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, page_title,
+               count(*) AS edit_count, count(DISTINCT usr) AS unique_editors, true AS within_error FROM edits GROUP BY ALL""")),
+    "update_store_compaction": (compacted, with_(_ON_TIME, f"SELECT {_COUNTS}, size_swing FROM windows")),
+    "late_rows_kept": (late_kept, with_(_ON_TIME, """
+        SELECT revid, CASE WHEN revid IN (SELECT revid FROM on_time) THEN 0 ELSE 1 END AS is_late,
+               (SELECT count(*) FROM edits) AS counted,
+               (SELECT count(*) FROM edits) - (SELECT count(*) FROM on_time) AS counted_late FROM edits""")),
+    "bounded_run": (bounded, with_(_WINDOWS, f"SELECT {_COUNTS}, size_swing FROM windows")),
 }

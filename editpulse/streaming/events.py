@@ -89,6 +89,36 @@ def page_counts_approx(events: DataFrame, *, ts_col: str = "timestamp", window:
     )
 
 
+#: Buckets of an editor sketch, as a power of two; the relative error is 1.04 / sqrt(2 ** LG_K).
+LG_K = 12
+
+
+def page_sketches(events: DataFrame, *, ts_col: str = "timestamp", window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+    """Edits and a sketch of the editors per (window, page), for append mode. Unlike
+    counts of distinct editors, sketches can be merged over windows."""
+    return (
+        event_time(events, ts_col, watermark)
+        .groupBy(F.window(ts_col, window).alias("window"), "page_title")
+        .agg(n_rows().alias("edit_count"), F.hll_sketch_agg("user", LG_K).alias("editors"))
+    )
+
+
+def merged_sketches(sketches: DataFrame, window: str) -> DataFrame:
+    """Stored sketches rolled up to longer windows (minutes to hours to days)."""
+    return sketches.groupBy(F.window("window.start", window).alias("window"), "page_title").agg(
+        F.sum("edit_count").alias("edit_count"), F.hll_union_agg("editors").alias("editors"))
+
+
+def sketch_estimates(sketches: DataFrame) -> DataFrame:
+    """Sketches to estimated numbers of editors."""
+    return sketches.withColumn("approx_editors", F.hll_sketch_estimate("editors")).drop("editors")
+
+
+def within_error(estimate, exact, sigmas: int = 3):
+    """Whether an estimate lies within ``sigmas`` standard errors of a count."""
+    return F.abs(estimate - exact) <= F.ceil(sigmas * 1.04 / 2 ** (LG_K / 2) * exact)
+
+
 def edit_war_alerts(counts: DataFrame, *, min_edits: int = 3, min_editors: int = 2,
                     min_swing: int = 500) -> DataFrame:
     """Windows in which several people edit one page and its size swings."""

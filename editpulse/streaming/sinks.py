@@ -45,10 +45,11 @@ def current_page_counts(spark: SparkSession, path: str) -> DataFrame:
     return roll_up(latest_updates(spark, path, ["window", "page_title", "user"]))
 
 
-def run_available(writer: DataStreamWriter) -> None:
+def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there now, then stop."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
 def run_bounded(writer: DataStreamWriter, seconds: int = 300) -> StreamingQuery:
