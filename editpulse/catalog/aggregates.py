@@ -9,6 +9,7 @@ from editpulse.operators import topk as T
 from editpulse.operators.clean import silver
 from editpulse.operators.joins import join_cluster_labels, new_revisions
 from editpulse.plans import edits as E
+from editpulse.schemas import BRONZE as BRONZE_SCHEMA
 from editpulse.sources.tables import register_edits, top_editors_sql
 
 
@@ -85,6 +86,8 @@ def labelled_edits(df):
     return join_cluster_labels(df, users).select("revid", "user", "prediction")
 
 
+_BRONZE_SQL = {"user": "usr", "timestamp": "stamp", "collected_at": "NULL"}
+
 QUERIES = {
     "contested_pages": (flagship, FLAGSHIP_SQL),
     "silver_summary": (changed(A.silver_summary), with_(CHANGED, """
@@ -104,13 +107,8 @@ QUERIES = {
         SELECT page_title, page_total_edits, page_unique_editors,
                round(page_avg_edit_size, 6) AS page_avg_edit_size, page_additions, page_deletions,
                round(page_controversy_score, 6) AS page_controversy_score FROM page_stats""")),
-    "null_counts": (
-        lambda spark, d: A.null_counts(
-            E.bronze(spark, d), ["page_title", "revid", "user", "minor", "collected_at"]),
-        with_(BRONZE, """
-        SELECT count(*) FILTER (page_title IS NULL) AS page_title,
-               count(*) FILTER (revid IS NULL) AS revid, count(*) FILTER (usr IS NULL) AS "user",
-               count(*) FILTER (minor IS NULL) AS minor, count(*) AS collected_at FROM bronze""")),
+    "null_counts": (lambda spark, d: A.null_counts(E.bronze(spark, d)), with_(BRONZE, "SELECT " + ", ".join(
+        f'count(*) FILTER ({_BRONZE_SQL.get(c, c)} IS NULL) AS "{c}"' for c in BRONZE_SCHEMA.fieldNames()) + " FROM bronze")),
     "duplicate_count": (lambda spark, d: A.duplicate_count(E.bronze(spark, d)), with_(BRONZE, """
         SELECT count(*) - count(DISTINCT revid) AS duplicate_rows FROM bronze""")),
     "retention": (layers, with_(SILVER, """

@@ -108,6 +108,13 @@ SILVER = BRONZE + """, kept AS (
          CASE WHEN comment <> '' THEN 1 ELSE 0 END AS has_comment, tags
   FROM kept)"""
 
+DATASET_KPIS = """SELECT count(*) AS total_edits, count(DISTINCT page_title) AS total_pages,
+  count(DISTINCT usr) AS total_users, cast(sum(is_bot) AS bigint) AS bot_edits,
+  cast(sum(is_anon) AS bigint) AS anon_edits, cast(sum(is_minor) AS bigint) AS minor_edits,
+  round(avg(size_bytes), 1) AS avg_edit_size, round(100.0::double * sum(is_bot) / count(*), 2) AS bot_pct,
+  round(100.0::double * sum(is_anon) / count(*), 2) AS anon_pct,
+  round(100.0::double * sum(is_minor) / count(*), 2) AS minor_pct FROM edits"""
+
 # Bucket 0..99 of a revision id, from its md5.
 BUCKET = "cast('0x' || substr(md5(cast(revid AS varchar)), 1, 6) AS int) % 100"
 STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
@@ -132,3 +139,17 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd")
         out.append(c.alias(name))
     return df.select(*out)
+
+
+def long_table(tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
+    """All tables of a report as rows (part, item, figure, value): ``keys`` names the
+    column that tells the rows of a table apart; times count in microseconds."""
+    out = None
+    for name, table in tables.items():
+        key = (keys or {}).get(name)
+        times = {c for c, kind in table.dtypes if kind.startswith("timestamp")}
+        figures = [c for c in table.columns if c != key]
+        rows = table.select(F.lit(name).alias("part"), (F.col(key).cast("string") if key else F.lit("")).alias("item"), *[
+            (F.unix_micros(c) if c in times else F.col(c)).cast("double").alias(c) for c in figures]).unpivot(["part", "item"], figures, "figure", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumn("value", F.round("value", 6))

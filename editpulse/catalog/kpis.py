@@ -1,7 +1,10 @@
 """Key figures."""
 
+from pyspark.sql import functions as F
+
+from editpulse.catalog import models as MO
 from editpulse.catalog.aggregates import GUESSES, PROFILES, changed, guesses, plain, segments
-from editpulse.catalog.base import EDITS, FEATURES, rounded, with_
+from editpulse.catalog.base import DATASET_KPIS, EDITS, FEATURES, rounded, with_
 from editpulse.operators import aggregates as A
 from editpulse.operators import features as FE
 from editpulse.operators import kpis as K
@@ -19,23 +22,20 @@ def fingerprint(df):
 
 
 def card(spark, d):
+    """All five lines; those of models from given scores and segments."""
     changed_edits = E.edits_with_change(spark, d)
-    return K.summary_card(K.dataset_kpis(changed_edits),
-                          reverts=K.revert_kpis(FE.page_sequence(changed_edits)))
-
+    metrics = MO.multiclass(spark, d)
+    return K.summary_card(
+        K.dataset_kpis(changed_edits), MO.areas(spark, d).crossJoin(metrics), metrics,
+        MO.silhouette(spark, d).select(F.col("silhouette").alias("silhouette_score"), F.lit(3).alias("num_clusters")),
+        K.revert_kpis(FE.page_sequence(changed_edits)))
 
-_DATASET = """SELECT count(*) AS total_edits, count(DISTINCT page_title) AS total_pages,
-  count(DISTINCT usr) AS total_users, cast(sum(is_bot) AS bigint) AS bot_edits,
-  cast(sum(is_anon) AS bigint) AS anon_edits, cast(sum(is_minor) AS bigint) AS minor_edits,
-  round(avg(size_bytes), 1) AS avg_edit_size, round(100.0::double * sum(is_bot) / count(*), 2) AS bot_pct,
-  round(100.0::double * sum(is_anon) / count(*), 2) AS anon_pct,
-  round(100.0::double * sum(is_minor) / count(*), 2) AS minor_pct FROM edits"""
 
 _REVERTS = """SELECT count(*) AS total_edits, cast(sum(is_revert_candidate) AS bigint) AS revert_candidates,
   round(sum(is_revert_candidate) / count(*)::double, 4) AS revert_rate FROM features"""
 
 QUERIES = {
-    "dataset_kpis": (plain(K.dataset_kpis), with_(EDITS, _DATASET)),
+    "dataset_kpis": (plain(K.dataset_kpis), with_(EDITS, DATASET_KPIS)),
     "revert_kpis": (reverting(K.revert_kpis), with_(FEATURES, _REVERTS)),
     "velocity_kpis": (plain(K.velocity_kpis), with_(EDITS, """
         SELECT page_title, edits, round(edits / days, 1) AS edits_per_day
@@ -77,11 +77,16 @@ QUERIES = {
                  count(*) FILTER (label = 0 AND prediction = 0) AS tn FROM guesses)""")),
     "daily_trend": (plain(K.daily_trend), with_(EDITS, """
         SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS edits FROM edits GROUP BY 1 ORDER BY 1""")),
-    "summary_card": (card, with_(FEATURES + f""", d AS ({_DATASET}), r AS ({_REVERTS})""", """
+    "summary_card": (card, with_(FEATURES + f""", d AS ({DATASET_KPIS}), r AS ({_REVERTS})""", """
         SELECT 1 AS position, printf('Dataset: %d edits, %d pages, %d users; %.2f%% bot, %.2f%% anonymous, %.2f%% minor',
           total_edits, total_pages, total_users, bot_pct, anon_pct, minor_pct) AS line FROM d
         UNION ALL SELECT 5, printf('Edit wars: %.2f%% reverts, %d candidates', revert_rate * 100, revert_candidates)
-        FROM r""")),
+        FROM r
+        UNION ALL SELECT 2, printf('Bot detection: AUC-ROC %.4f, AUC-PR %.4f, F1 %.4f, accuracy %.4f', auc_roc, auc_pr, f1_score, accuracy)
+        FROM (""" + MO.QUERIES["eval_binary"][1] + ") a, (" + MO.QUERIES["eval_multiclass"][1] + """) m
+        UNION ALL SELECT 3, printf('Edit type: accuracy %.4f, F1 %.4f, precision %.4f, recall %.4f', accuracy, f1_score, "precision", recall)
+        FROM (""" + MO.QUERIES["eval_multiclass"][1] + """) m
+        UNION ALL SELECT 4, printf('Clusters: silhouette %.4f, k = %d', silhouette, 3) FROM (""" + MO.QUERIES["eval_silhouette"][1] + ") s")),
     "kpi_document": (
         lambda spark, d: kpi_document(
             K.edit_composition(E.edits(spark, d)).groupBy().pivot(

@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from editpulse.catalog.aggregates import GUESSES, PROFILES, guesses, segments
-from editpulse.catalog.base import BUCKET, CHANGED, EDITS, FEATURES, rounded, with_
+from editpulse.catalog.base import BUCKET, CHANGED, EDITS, FEATURES, long_table, rounded, with_
 from editpulse.ml import evaluation as EV
 from editpulse.ml import models as M
 from editpulse.operators import aggregates as A
@@ -55,6 +55,13 @@ def silhouette(spark, d):
     return spark.createDataFrame([(round(value, 6),)], "silhouette double")
 
 
+def _cells(tables):
+    """Report tables with the cells of the confusion matrix named by one column."""
+    matrix = tables["confusion"]
+    label, guess = matrix.columns[:2]
+    return tables | {"confusion": matrix.withColumn("cell", F.concat_ws(" as ", label, guess)).drop(label, guess)}
+
+
 def bot_scores(spark, d):
     _, pred = M.train_bot_model(E.feature_table(spark, d))
     return pred.select("revid", "is_bot", F.col("prediction").cast("int").alias("prediction"))
@@ -62,7 +69,7 @@ def bot_scores(spark, d):
 
 def bot_metrics(spark, d):
     model, pred = M.train_bot_model(E.feature_table(spark, d))
-    return rounded(EV.bot_kpis(model, pred)["metrics"])
+    return long_table(_cells(EV.bot_kpis(model, pred)), {"confusion": "cell", "top_features": "feature"})
 
 
 def top_features(spark, d):
@@ -72,7 +79,7 @@ def top_features(spark, d):
 
 def edit_type_scores(spark, d):
     _, _, pred = M.train_edit_type_model(E.feature_table(spark, d))
-    return rounded(EV.edit_type_kpis(pred)["metrics"])
+    return long_table(_cells(EV.edit_type_kpis(pred)), {"confusion": "cell", "predicted": "prediction"})
 
 
 def edit_type_predictions(spark, d):
@@ -121,7 +128,9 @@ def clusters(spark, d):
 
 def cluster_metrics(spark, d):
     model, users = M.train_user_clusters(E.edits_with_change(spark, d))
-    return rounded(EV.cluster_kpis(model, users)["metrics"])
+    tables = EV.cluster_kpis(model, users)
+    tables["centers"] = tables["centers"].withColumn("cluster", F.concat_ws(" ", "cluster", "feature")).drop("feature")
+    return long_table(tables, {"sizes": "prediction", "profiles": "prediction", "centers": "cluster"})
 
 
 def centers(spark, d):
@@ -154,6 +163,75 @@ def audit(spark, d):
     return M.audit_models(spark, {"clusters": path, "missing": f"{path}-missing"}).drop("path")
 
 
+def _total(df, column):
+    return df.agg(F.sum(column)).first()[0]
+
+
+def _right(tables):
+    """Whether the share of the matrix's diagonal is the accuracy."""
+    matrix = tables["confusion"]
+    hits = matrix.filter(F.col(matrix.columns[0]) == F.col(matrix.columns[1]))
+    return abs(_total(hits, "n") / _total(matrix, "n") - tables["metrics"].first().accuracy) < 1e-9
+
+
+def report_totals(spark, d):
+    """What the tables of the three reports must add up to."""
+    features = E.feature_table(spark, d)
+    bots = EV.bot_kpis(*M.train_bot_model(features))
+    edit_type = EV.edit_type_kpis(M.train_edit_type_model(features)[2])
+    groups = EV.cluster_kpis(*M.train_user_clusters(E.edits_with_change(spark, d)))
+    return spark.createDataFrame([
+        ("bot rows", _total(bots["confusion"], "n"), _right(bots)),
+        ("bot inputs", bots["top_features"].count(), abs(_total(bots["top_features"], "importance") - 1) < 1e-9),
+        ("edit type rows", _total(edit_type["confusion"], "n"), _right(edit_type)),
+        ("edit types guessed", _total(edit_type["predicted"], "edits"), True),
+        ("users in clusters", _total(groups["sizes"], "users"), groups["sizes"].count() == groups["metrics"].first().num_clusters),
+        ("users in profiles", _total(groups["profiles"], "users"), groups["profiles"].count() == groups["sizes"].count()),
+    ], "figure string, total bigint, holds boolean")
+
+
+def importance_totals(fn):
+    """Number of inputs and the sum of their importances, which is 1."""
+    return lambda spark, d: fn(spark, d).agg(F.count("*").alias("inputs"), F.count_if(F.col("importance") < 0).alias("negative"), F.round(F.sum("importance"), 4).alias("total"))
+
+
+def separable(spark, d):
+    """Trained on rows that two inputs tell apart, the model knows every held-out row."""
+    told = E.edit_features(spark, d).withColumns({"is_minor": F.col("is_bot"), "comment_length": F.col("is_bot") * 40})
+    return M.train_bot_model(told)[1].select("revid", "is_bot", F.col("prediction").cast("int").alias("prediction"))
+
+
+def reloaded_edit_type(spark, d):
+    """Scores of the edit-type model and its label indexer before saving and after loading."""
+    path = scratch_dir(spark, "edit-type")
+    features = E.feature_table(spark, d)
+    model, indexer, _ = M.train_edit_type_model(features)
+    M.save_model(model, f"{path}/model")
+    M.save_model(indexer, f"{path}/labels")
+    rows = M.edit_type_rows(features)
+    before = M.score(model, rows, indexer).select("revid", F.col("label").alias("l"), F.col("prediction").alias("p"))
+    after = M.score(M.load_model(f"{path}/model"), rows, M.load_indexer(f"{path}/labels")).select("revid", "label", "prediction")
+    return before.join(after, "revid").agg(F.count("*").alias("edits"), F.count_if((F.col("l") != F.col("label")) | (F.col("p") != F.col("prediction"))).alias("changed"))
+
+
+def nearest(spark, d):
+    """Every user stands in the cluster whose centre is nearest to its scaled profile."""
+    model, users = M.train_user_clusters(E.edits_with_change(spark, d))
+    names = model.stages[0].getInputCols()
+    pairs = F.arrays_zip(F.array(*map(F.lit, names)).alias("feature"), vector_to_array("features").alias("x"))
+    long = users.select("user", "prediction", F.inline(pairs))
+    away = long.join(F.broadcast(EV.cluster_centers(model)), "feature").groupBy("user", "prediction", "cluster").agg(F.sum((F.col("x") - F.col("value")) ** 2).alias("distance"))
+    own = F.when(F.col("cluster") == F.col("prediction"), F.col("distance"))
+    return away.groupBy("user").agg((F.min("distance") >= F.min(own) - 1e-9).alias("is_nearest"))
+
+
+def gold_totals(spark, d):
+    """Every complete edit once, and every user in one of three segments."""
+    users = M.gold_segmentation(E.edits(spark, d)).groupBy("user").agg(
+        F.count("*").alias("edits"), F.count_distinct("prediction").alias("segments"), F.max("prediction").alias("last"))
+    return users.select("user", "edits", "segments", F.col("last").between(0, 2).alias("known"))
+
+
 def guard(spark, d):
     rows = E.edits(spark, d).filter("is_bot = 0")
     return rows.agg(F.count("*").alias("edits")).withColumn("trainable", F.lit(M.trainable(rows, "is_bot")))
@@ -226,6 +304,23 @@ QUERIES = {
         SELECT revid, label, true AS sound FROM features JOIN (
           SELECT edit_magnitude, cast(row_number() OVER (ORDER BY count(*) DESC, edit_magnitude) - 1 AS int) AS label
           FROM features GROUP BY edit_magnitude) USING (edit_magnitude) WHERE {BUCKET} >= 80""")),
+    "model_report_totals": (report_totals, with_(FEATURES + """, bots AS (SELECT revid, row_number() OVER (PARTITION BY is_bot ORDER BY md5(cast(revid AS varchar)), revid) AS rn,
+          ceil(count(*) OVER (PARTITION BY is_bot) * 0.8::double) AS cut FROM edits),
+        profiled AS (SELECT count(*) AS n FROM (SELECT usr FROM edits GROUP BY usr HAVING count(*) >= 5))""", f"""
+        SELECT 'bot rows' AS figure, count(*) AS total, true AS holds FROM bots WHERE rn > cut
+        UNION ALL SELECT 'bot inputs', {len(BOT_INPUTS)}, true
+        UNION ALL SELECT 'edit type rows', count(*), true FROM features WHERE {BUCKET} >= 80
+        UNION ALL SELECT 'edit types guessed', count(*), true FROM features WHERE {BUCKET} >= 80
+        UNION ALL SELECT 'users in clusters', n, true FROM profiled UNION ALL SELECT 'users in profiles', n, true FROM profiled""")),
+    "top_feature_totals": (importance_totals(top_features), f"SELECT {len(BOT_INPUTS)} AS inputs, 0 AS negative, 1.0::double AS total FROM (SELECT count(*) FROM events)"),
+    "importance_totals": (importance_totals(importances), f"SELECT {len(BOT_INPUTS)} AS inputs, 0 AS negative, 1.0::double AS total FROM (SELECT count(*) FROM events)"),
+    "separable_bot_rows": (separable, with_(EDITS, """
+        SELECT revid, is_bot, is_bot AS prediction FROM (SELECT revid, is_bot,
+          row_number() OVER (PARTITION BY is_bot ORDER BY md5(cast(revid AS varchar)), revid) AS rn,
+          ceil(count(*) OVER (PARTITION BY is_bot) * 0.8::double) AS cut FROM edits) WHERE rn > cut""")),
+    "save_load_edit_type": (reloaded_edit_type, "SELECT count(*) AS edits, cast(0 AS bigint) AS changed FROM events"),
+    "cluster_nearest_center": (nearest, with_(EDITS, 'SELECT usr AS "user", true AS is_nearest FROM edits GROUP BY usr HAVING count(*) >= 5')),
+    "gold_segment_totals": (gold_totals, with_(EDITS, 'SELECT usr AS "user", count(*) AS edits, 1 AS segments, true AS known FROM edits GROUP BY usr')),
     "save_load_model": (stored_model, with_(PROFILES, """
         SELECT count(*) AS users, cast(0 AS bigint) AS changed FROM profiles""")),
 }

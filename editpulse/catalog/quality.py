@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from editpulse.catalog.base import BRONZE, SILVER, rounded, with_
+from editpulse.catalog.base import BRONZE, SILVER, long_table, rounded, with_
 from editpulse.catalog.rows import _BRONZE_OUT
 from editpulse.operators import quality as Q
 from editpulse.operators.clean import silver
@@ -54,12 +54,9 @@ def progress(spark, d):
 
 
 def report(spark, d):
+    """All six tables."""
     raw_rows = E.bronze(spark, d)
-    tables = quality_report(raw_rows, silver(raw_rows))
-    summary, kept = tables["summary"], tables["retention"]
-    figures = summary.select("total_edits", "unique_pages", "unique_users").unpivot(
-        [], ["total_edits", "unique_pages", "unique_users"], "figure", "value")
-    return figures.unionByName(kept.unpivot([], ["raw_count", "removed"], "figure", "value"))
+    return long_table(quality_report(raw_rows, silver(raw_rows)), {"nulls": "column_name", "top_pages": "page_title"})
 
 
 _VALID = "page_title IS NOT NULL AND revid IS NOT NULL AND usr IS NOT NULL AND stamp IS NOT NULL"
@@ -94,10 +91,17 @@ QUERIES = {
         SELECT count(*) AS records, count(DISTINCT revid // {PER_FILE}) AS files, cast(1000000 AS bigint) AS goal,
                round(100.0::double * count(*) / 1000000, 2) AS done_pct,
                greatest(0, 1000000 - count(*)) AS remaining FROM bronze""")),
-    "quality_report": (report, with_(SILVER, """
-        SELECT 'total_edits' AS figure, count(*) AS value FROM silver
-        UNION ALL SELECT 'unique_pages', count(DISTINCT page_title) FROM silver
-        UNION ALL SELECT 'unique_users', count(DISTINCT usr) FROM silver
-        UNION ALL SELECT 'raw_count', count(*) FROM bronze
-        UNION ALL SELECT 'removed', (SELECT count(*) FROM bronze) - (SELECT count(*) FROM silver)""")),
+    "quality_report": (report, with_(SILVER + """, n AS (SELECT (SELECT count(*) FROM bronze) AS r, (SELECT count(*) FROM silver) AS s),
+        tops AS (SELECT page_title, count(*) AS edits FROM silver GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)""", " UNION ALL ".join([
+        f"SELECT 'nulls' AS part, '{name}' AS item, '{figure}' AS figure, round(cast({value} AS double), 6) AS value FROM (SELECT count(*) AS n, count(*) FILTER ({c} IS NULL) AS m FROM bronze)"
+        for name, c in (("page_title", "page_title"), ("revid", "revid"), ("user", "usr"), ("timestamp", "stamp"))
+        for figure, value in (("nulls", "m"), ("null_pct", "round(100.0::double * m / n, 2)"))] + [
+        "SELECT 'duplicates', '', 'duplicate_rows', cast(count(*) - count(DISTINCT revid) AS double) FROM bronze"] + [
+        f"SELECT 'retention', '', '{figure}', cast({value} AS double) FROM n"
+        for figure, value in (("raw_count", "r"), ("final_count", "s"), ("removed", "r - s"), ("kept_pct", "round(100.0::double * s / r, 2)"))] + [
+        f"SELECT 'summary', '', '{figure}', round(cast({value} AS double), 6) FROM silver"
+        for figure, value in (("total_edits", "count(*)"), ("unique_pages", "count(DISTINCT page_title)"), ("unique_users", "count(DISTINCT usr)"), ("avg_edit_size", "avg(size_bytes)"),
+                              ("avg_comment_len", "avg(comment_length)"), ("bot_edits", "sum(is_bot)"), ("anon_edits", "sum(is_anon)"), ("minor_edits", "sum(is_minor)"))] + [
+        f"SELECT 'date_range', '', '{figure}', cast(epoch_us({value}) AS double) FROM silver" for figure, value in (("earliest_edit", "min(ts)"), ("latest_edit", "max(ts)"))] + [
+        "SELECT 'top_pages', page_title, 'edits', cast(edits AS double) FROM tops"]))),
 }

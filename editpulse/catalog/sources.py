@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from editpulse.catalog.aggregates import PROFILES, segments
-from editpulse.catalog.base import BRONZE, CHANGED, EDITS, FEATURES, SILVER, rounded, with_
+from editpulse.catalog.base import DATASET_KPIS, BRONZE, CHANGED, EDITS, FEATURES, SILVER, rounded, with_
 from editpulse.catalog.features import columns_sql
 from editpulse.catalog.rows import _BRONZE_OUT, _SILVER_OUT
 from editpulse.functions.scalars import months_between_filter
@@ -116,7 +116,7 @@ def silver_month(spark, d):
 
 def kpi_files(spark, d):
     path = scratch_dir(spark, "kpis")
-    table = dataset_kpis(E.edits(spark, d)).select("total_edits", "bot_edits", "bot_pct")
+    table = dataset_kpis(E.edits(spark, d))
     TB.write_kpis({"dataset": table}, path)
     return spark.read.schema(table.schema).json(f"{path}/dataset")
 
@@ -190,7 +190,5 @@ QUERIES = {
     "read_silver": (silver_month, with_(SILVER, """
         SELECT day, count(*) AS edits, cast(sum(size_bytes) AS bigint) AS size_bytes FROM silver
         WHERE year = 2024 AND month = 1 GROUP BY day""")),
-    "write_kpis": (kpi_files, with_(EDITS, """
-        SELECT count(*) AS total_edits, cast(sum(is_bot) AS bigint) AS bot_edits,
-               round(100.0::double * sum(is_bot) / count(*), 2) AS bot_pct FROM edits""")),
+    "write_kpis": (kpi_files, with_(EDITS, DATASET_KPIS)),
 }
