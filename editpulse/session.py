@@ -52,4 +52,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     no recomputation. See ``scratch_folders`` for cleaning up."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    back._scratch = path
+    return back
+
+
+def remove_stored(*tables: DataFrame) -> None:
+    """Remove the folders of tables from ``stored`` that no later step reads."""
+    for table in tables:
+        spark, path = table.sparkSession, table._scratch
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _scratch.remove(path)
