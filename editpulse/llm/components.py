@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editpulse.session import stored
+from editpulse.session import remove_stored, stored
 
 
 def _largest(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     roots themselves; root is the least node of the component."""
     now, before = stored(edges.filter("a <> b").select("a", "b").distinct(), label), None
     while True:
-        now = stored(_smallest(_largest(now)).distinct(), label)
+        last, now = now, stored(_smallest(_largest(now)).distinct(), label)
+        remove_stored(last)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

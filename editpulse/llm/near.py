@@ -6,19 +6,23 @@ are near copies when their sets of shingles have a Jaccard similarity of at leas
 SIMILARITY. Each text has BANDS hashes of ROWS min-hashes each; texts that share a
 band are candidates, and every tie is verified on the sets. At similarity 0.8
 exactly a pair shares no band with probability (1 - 0.8^6)^24 = 0.0007, at 0.9
-below 1e-7. Texts with equal sets have equal bands and are tied without a check.
+below 1e-7. Texts with equal sets have equal bands and are tied by a hash of the set
+of 128 bits and its size.
 
 No bucket is paired out at once. In rounds, the least keys of each bucket (one in
 the first round, HUBS in later ones) are compared with the greater keys in it; a
 key that is tied to a lesser one leaves all buckets, a key that has been a hub
 leaves that bucket, until no bucket has two keys. So a class of k copies costs k
-comparisons a bucket at most in the first round. Of two near copies that share a
-bucket the greater is always tied to a lesser key, hence the least keys of the
-components are never near copies of each other.
+comparisons a bucket at most in the first round. Keys that stay are never near each
+other where they share a bucket. A key that is near only to keys that have left is
+not tied to them: a chain of texts may so become more than one class. The sets of
+all keys in buckets are written once; a round joins them, never the texts, and
+removes what the round before has written.
 
 A null or blank text has the empty set, and is a copy of any other such text. Rows
 that repeat a key are one node, near to what any of their texts is near to; rows
-with a null key are in no class. Further columns do not matter.
+with a null key are in no class. An empty table has no classes, a text of any length
+is read whole, and further columns do not matter.
 """
 
 from __future__ import annotations
@@ -30,9 +34,11 @@ from pyspark.sql import functions as F
 
 from editpulse.llm import text as X
 from editpulse.llm.components import components
-from editpulse.session import stored
+from editpulse.session import remove_stored, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Bits of the table that says whose sets are wanted: 16 MB, sent to every executor.
+FILTER_BITS = 1 << 27
 BANDS, ROWS, HUBS = 24, 6, 16
 _NOT_BLANK = np.array([not bytes([i]).isspace() for i in range(256)])
 _RNG = np.random.default_rng(5)
@@ -72,13 +78,14 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Set hash, size and bands of each text; the empty set has no bands."""
-    whole, size, rows, group, held = [], [], [], [], 0
+    """Set hash (two words), size and bands of each text; the empty set has no bands."""
+    whole, other, size, rows, group, held = [], [], [], [], [], 0
 
     def flush():
         found = iter(bands([s for s in group if len(s)]))
         for s in group:
             whole.append(int(np.bitwise_xor.reduce(_mixed(s * _ODD[0]))) if len(s) else 0)
+            other.append(int(np.add.reduce(_mixed((s ^ _XOR[0]) * _ODD[1]))) if len(s) else 0)
             size.append(len(s))
             rows.append(next(found).view(np.int64).tolist() if len(s) else [])
         group.clear()
@@ -89,12 +96,34 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
             flush()
             held = 0
     flush()
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(size, pa.int32()),
-                                       pa.array(rows, pa.list_(pa.int64()))], names=["key", "whole", "size", "bands"])
+    words = [pa.array(np.array(h, np.uint64).view(np.int64)) for h in (whole, other)]
+    return pa.RecordBatch.from_arrays([batch.column(0), *words, pa.array(size, pa.int32()), pa.array(rows, pa.list_(pa.int64()))],
+                                      names=["key", "whole", "other", "size", "bands"])
 
 
-def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingles(batch.column(1))], pa.binary())], names=["key", "shingles"])
+def _key_bits(keys: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits with those of the keys' hashes set: bounded, whatever the keys."""
+    place = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)) + 1
+    rows = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for bucket, part in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
+        bits[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(part, np.uint8)
+    return bits
+
+
+def _candidate_sets(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, shingles) of the texts of ``keys``, stored once. Texts stay in the task
+    that reads them: a broadcast table of bits says which keys may be wanted, and
+    sets of further keys, which it lets pass, join nothing later."""
+    held = texts.sparkSession.sparkContext.broadcast(_key_bits(keys))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        place = batch.column(2).to_numpy()
+        wanted = batch.filter(pa.array((held.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+        if wanted.num_rows:
+            return pa.RecordBatch.from_arrays([wanted.column(0), pa.array([s.tobytes() for s in shingles(wanted.column(1))], pa.binary())], names=["key", "shingles"])
+    rows = texts.select("key", "text", F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("place"))
+    return stored(X.map_batches(rows, run, "key bigint, shingles binary"), "near-sets")
 
 
 def _similar(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -106,10 +135,8 @@ def _similar(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
-    both = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = stored(X.map_batches(texts.join(both, "key", "left_semi").distinct(), _sets, "key bigint, shingles binary"), "near-sets")
     of = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"{c}_set"))
     joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_set", "b_set")
     return X.map_batches(joined, _similar, "a bigint, b bigint").distinct()
@@ -119,40 +146,45 @@ def classes(texts: DataFrame) -> DataFrame:
     """(key, root) of every key of ``texts`` (key: bigint, text) that is not the
     least of its class; root is the least key."""
     texts = texts.filter("key IS NOT NULL")
-    sketches = stored(X.map_batches(texts, _sketch, "key bigint, whole bigint, size int, bands array<bigint>"), "near-sketch")
-    spark = texts.sparkSession
-    heads = sketches.groupBy("whole", "size").agg(F.min("key").alias("head"))
-    ties = [stored(sketches.select("key", "whole", "size").join(heads, ["whole", "size"]).filter("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")), "near-ties")]
+    sketches = stored(X.map_batches(texts.select("key", "text"), _sketch, "key bigint, whole bigint, other bigint, size int, bands array<bigint>"), "near-sketch")
+    same = ["whole", "other", "size"]
+    heads = sketches.groupBy(*same).agg(F.min("key").alias("head"))
+    ties = [stored(sketches.select("key", *same).join(heads, same).filter("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")), "near-ties")]
     copies = ties[0].select(F.col("a").alias("key")).distinct()
     buckets = sketches.join(copies, "key", "left_anti").select("key", "size", F.explode("bands").alias("band")).distinct()
     many = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     left, hubs_wanted = stored(buckets.join(many.hint("merge"), "band"), "near-buckets"), 1
+    remove_stored(sketches)
+    sets = _candidate_sets(texts, left.select("key").distinct())
     while True:
         order = Window.partitionBy("band").orderBy("key", "size")
         hubs = stored(left.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs_wanted), "near-hubs")
         met = left.select("band", F.col("key").alias("a"), "size").join(hubs.select("band", F.col("key").alias("b"), F.col("size").alias("other")).hint("merge"), "band").filter("a > b")
         fits = F.least("size", "other") >= SIMILARITY * F.greatest("size", "other") - 1e-9
         pairs = stored(met.filter(fits).select("a", "b").distinct(), "near-pairs")
-        if pairs.head(1):
-            ties.append(stored(_verified(pairs, texts), "near-ties"))
-            gone = ties[-1].select(F.col("a").alias("key")).distinct()
-        else:
-            gone = spark.createDataFrame([], "key bigint")
+        ties.append(stored(_verified(pairs, sets), "near-ties"))
+        gone = ties[-1].select(F.col("a").alias("key")).distinct()
         rest = left.join(hubs.select("band", "key", "size"), ["band", "key", "size"], "left_anti").join(gone, "key", "left_anti")
-        left = stored(rest, "near-buckets")
-        many = left.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-        if not many.head(1):
+        last, rest = left, stored(rest, "near-buckets")
+        many = rest.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+        left = stored(rest.join(many.hint("merge"), "band"), "near-buckets")
+        remove_stored(last, rest, hubs, pairs)
+        hubs_wanted = HUBS
+        if not left.head(1):
             break
-        left, hubs_wanted = left.join(many.hint("merge"), "band"), HUBS
+    remove_stored(left, sets)
     edges = ties[0]
     for t in ties[1:]:
         edges = edges.unionByName(t)
-    return components(edges, "near").select(F.col("node").alias("key"), "root")
+    found = components(edges, "near").select(F.col("node").alias("key"), "root")
+    remove_stored(*ties)
+    return found
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class of near copies stays: the one with the least id; of
-    rows that repeat its id, one. Rows without an id stay, as none can be named."""
+    """One document of each class of near copies stays: the one with the least id. Of
+    rows that repeat its id, one of each different text stays; rows without an id
+    stay, as none can be named."""
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"))
     copies = classes(rows).select("key", F.lit(False).alias("once"))
     repeated = rows.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.lit(True).alias("once"))
@@ -162,4 +194,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     plain = docs.join(decided.select(mark), same, "left_anti")
     if not decided.filter("once").head(1):
         return plain
-    return plain.unionByName(docs.join(decided.filter("once").select(mark), same, "left_semi").dropDuplicates([id_col]))
+    folded = docs.join(decided.filter("once").select(mark), same, "left_semi")
+    place = X.fresh(docs, "place")
+    rest = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map") and c not in (id_col, text_col)]
+    one = Window.partitionBy(f"`{id_col}`", f"`{text_col}`").orderBy(*(rest or [F.lit(0)]))
+    return plain.unionByName(folded.withColumn(place, F.row_number().over(one)).filter(F.col(f"`{place}`") == 1).drop(place))

@@ -64,3 +64,31 @@ def test_near_edges(spark):
     kept = [r.doc_id for r in near.keep_one(df).collect()]
     assert sorted(kept, key=lambda x: (x is None, x)) == [1, 2, 3, 6, None]
     assert near.keep_one(df.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_stay(spark):
+    """Of rows with one id each different text stays, once, whatever the partitions."""
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, long, "a"), (1, "some other words in this text", "b"), (1, long, "a"), (1, long, "b"), (2, long + " x", "c"), (3, "third", "d")]
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, place string").repartition(n)
+        assert sorted(tuple(r) for r in near.keep_one(df).collect()) == [(1, "some other words in this text", "b"), (1, long, "a"), (3, "third", "d")]
+
+
+def test_texts_are_not_shuffled(spark, monkeypatch):
+    """Sets are made where the texts are read, and rounds join sets."""
+    plans, real = {}, near.stored
+
+    def watched(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+    monkeypatch.setattr(near, "stored", watched)
+    df = spark.createDataFrame(list(enumerate(planted(random.Random(1), 4))), "key bigint, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert near.classes(df).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plans["near-sets"][0] and "Exchange" not in plans["near-sketch"][0]
+    for label in ("near-ties", "near-buckets", "near-pairs", "near-hubs"):
+        assert all("text#" not in p for p in plans[label])
