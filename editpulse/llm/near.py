@@ -37,8 +37,9 @@ from editpulse.llm.components import components
 from editpulse.session import remove_stored, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Bits of the table that says whose sets are wanted: 16 MB, sent to every executor.
-FILTER_BITS = 1 << 27
+#: The table that says whose sets are wanted, sent to every executor, has 16 to 32
+#: bits a key, and 16 MB at most; a fuller table lets more sets pass.
+FILTER_BITS = (1 << 15, 1 << 27)
 BANDS, ROWS, HUBS = 24, 6, 16
 _NOT_BLANK = np.array([not bytes([i]).isspace() for i in range(256)])
 _RNG = np.random.default_rng(5)
@@ -102,10 +103,12 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _key_bits(keys: DataFrame) -> np.ndarray:
-    """FILTER_BITS bits with those of the keys' hashes set: bounded, whatever the keys."""
-    place = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)) + 1
+    """Bits with those of the keys' hashes set: bounded, however many keys there are."""
+    least, most = FILTER_BITS
+    n_bits = min(max(least, 1 << (16 * keys.count()).bit_length()), most)
+    place = F.pmod(F.xxhash64("key"), F.lit(n_bits)) + 1
     rows = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    bits = np.zeros(n_bits // 8, np.uint8)
     for bucket, part in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
         bits[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(part, np.uint8)
     return bits
@@ -115,14 +118,15 @@ def _candidate_sets(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, shingles) of the texts of ``keys``, stored once. Texts stay in the task
     that reads them: a broadcast table of bits says which keys may be wanted, and
     sets of further keys, which it lets pass, join nothing later."""
-    held = texts.sparkSession.sparkContext.broadcast(_key_bits(keys))
+    bits = _key_bits(keys)
+    held = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         place = batch.column(2).to_numpy()
         wanted = batch.filter(pa.array((held.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
         if wanted.num_rows:
             return pa.RecordBatch.from_arrays([wanted.column(0), pa.array([s.tobytes() for s in shingles(wanted.column(1))], pa.binary())], names=["key", "shingles"])
-    rows = texts.select("key", "text", F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("place"))
+    rows = texts.select("key", "text", F.pmod(F.xxhash64("key"), F.lit(8 * len(bits))).alias("place"))
     return stored(X.map_batches(rows, run, "key bigint, shingles binary"), "near-sets")
 
 
@@ -155,7 +159,9 @@ def classes(texts: DataFrame) -> DataFrame:
     many = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     left, hubs_wanted = stored(buckets.join(many.hint("merge"), "band"), "near-buckets"), 1
     remove_stored(sketches)
-    sets = _candidate_sets(texts, left.select("key").distinct())
+    members = stored(left.select("key").distinct(), "near-members")
+    sets = _candidate_sets(texts, members)
+    remove_stored(members)
     while True:
         order = Window.partitionBy("band").orderBy("key", "size")
         hubs = stored(left.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs_wanted), "near-hubs")

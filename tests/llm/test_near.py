@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from editpulse.llm import near
 
 
@@ -92,3 +94,15 @@ def test_texts_are_not_shuffled(spark, monkeypatch):
     assert "Exchange" not in plans["near-sets"][0] and "Exchange" not in plans["near-sketch"][0]
     for label in ("near-ties", "near-buckets", "near-pairs", "near-hubs"):
         assert all("text#" not in p for p in plans[label])
+
+
+def test_wanted_sets_pass_a_full_table(spark, monkeypatch):
+    """A table of bits too small for its keys lets more sets pass, and loses none."""
+    texts = planted(random.Random(8), 12)
+    df = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string").repartition(3)
+    want = sorted(map(tuple, near.classes(df).collect()))
+    monkeypatch.setattr(near, "FILTER_BITS", (1 << 15, 1 << 15))
+    assert len(want) > 10 and sorted(map(tuple, near.classes(df).collect())) == want
+    keys = spark.range(3000, 3100).select(F.col("id").alias("key"))
+    bits = near._key_bits(keys)
+    assert len(bits) == 1 << 12 and 90 <= sum(bin(b).count("1") for b in bits.tolist()) <= 100
