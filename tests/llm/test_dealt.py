@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from editpulse.llm import bpe, chat, decontamination, exact_dedup, langid, licenses, lines, quality, secret_scan, simhash
+from editpulse.llm import bpe, chat, decontamination, exact_dedup, langid, licenses, quality, secret_scan, simhash
 from editpulse.llm import queries as Q
 from editpulse.llm.components import components
 
@@ -175,35 +175,7 @@ def test_directory_doubles():
 
 # 5 ---------------------------------------------------------------------------
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_line_templates(spark, limit):
-    own = lambda i: f"own words of text number{chr(97 + i)} and a few more of them{chr(97 + i)} that only it has"
-    texts = [f"{own(i)}\nprinted on day {i} of the year by machine\n\nshort" for i in range(6)] + [None, "", "short", f"{own(20)}\nshort{own(20)}"]
-    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id bigint, text string, key int")
-    found = {r.doc_id: r.text for r in lines.drop_recurring(df, min_docs=5, broadcast_templates=limit).collect()}
-    assert all(found[i] == own(i) + "\n" for i in range(6))
-    assert [found[i] for i in (6, 7, 8, 9)] == texts[6:]  # null, empty, all of it recurring, clean
-
-
-def test_line_copies_stay_whole(spark, edge, nothing):
-    text = "\n".join(f"a line of prose with words{c} and more{c}" for c in "abcdef")
-    df = spark.createDataFrame([(i, text if i else text + "\nedited") for i in range(20)], "doc_id bigint, text string")
-    assert {r.text for r in lines.drop_recurring(df).collect()} == {text, text + "\nedited"}
-    assert lines.drop_recurring(edge).count() == edge.count() and lines.drop_recurring(nothing).count() == 0
-
-
-def test_line_query_brute_force(spark, docs):
-    held = defaultdict(int)
-    for d in docs:
-        for t in {h for line in d.text.split("\n") for h in lines.template_hashes(line.encode())[1]}:
-            held[t] += 1
-    found = {r.doc_id: r for r in Q.op5_line_dedup(spark, SMALL).collect()}
-    for d in docs:
-        parts = [(line, *lines.template_hashes(line.encode())) for line in d.text.split("\n")]
-        drop = [any(held[h] >= lines.MIN_DOCS for h in hs) for _, _, hs in parts]
-        gone, total = sum(n for (_, n, _), x in zip(parts, drop) if x), sum(n for _, n, _ in parts)
-        expected = d.text if gone > total / 2 else "\n".join(line for (line, _, _), x in zip(parts, drop) if not x)
-        assert found[d.doc_id].text == expected and found[d.doc_id].n_chars == len(expected)
+# is in test_lines.py
 
 
 # 6 ---------------------------------------------------------------------------
