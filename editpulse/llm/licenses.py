@@ -2,21 +2,29 @@
 
 The automaton accepts every run of consecutive words of every template and
 phrase. Streaming a file's words through it gives the matching statistics: at
-each word, the longest run ending there that some template holds. Runs of at least
-MIN_RUN words are anchored in their templates and chained, in order and without
-overlap in text or template, into covered spans; a template whose chain covers
-at least MIN_COVER of it gives its label. The base phrases are read off the same
-pass: a phrase ends wherever the current run ends with it.
+each word, the longest run ending there that some template holds, and along the
+suffix links the longest run of every other place in the templates. Runs of at least
+MIN_RUN words that the next word does not extend are anchors. The chain of a template
+is the largest set of its anchors' words that ascends strictly in the file and in
+the template, so no word of either counts twice; it gives the share of the template
+that is covered, and the spans of the file that cover it. A template of which at
+least MIN_COVER is covered gives its label: the part of its name before a slash, as
+whole licences stand in sections. The base phrases are read off the same pass: a
+phrase ends wherever the current run ends with it.
 
 Words are taken as in ``text``; a null or empty text has none, no label, null
 places and score 0. Every row is scanned by itself: repeated rows are scanned
-again. Further columns do not matter.
+again. An empty table gives none. A text of any length is scanned whole; one above
+the chunk size is handled alone. Further columns do not matter.
 
 score: the largest share of a template that a chain covers, 1 for any base phrase.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,23 +34,69 @@ from editpulse.llm import text as X
 
 MIN_RUN, MIN_COVER = 4, 0.5
 
-# Phrases of the contract and opening words of public licences.
+# Phrases of the contract, and public licences by section: short ones
+# whole, of long ones the notices that files carry.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 TEMPLATES = {
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
-           "the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
-           "distribute sublicense and or sell copies of the software",
-    "apache-2.0": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
-                  "you may obtain a copy of the license at http www apache org licenses license 2 0",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
-           "conditions are met redistributions of source code must retain the above copyright notice",
-    "gpl-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
-                  "as published by the free software foundation either version",
-    "gpl-work": "this work is licensed under the gnu general public license version 3",
-    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "cc-by-work": "this work is licensed under a creative commons attribution 4 0 international license",
-    "cc-by-nc-line": "licensed under cc by nc 4 0",
+    "mit/permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+                      "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, "
+                      "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+                      "furnished to do so, subject to the following conditions:",
+    "mit/conditions": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "mit/disclaimer": "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties "
+                      "of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be "
+                      "liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or "
+                      "in connection with the software or the use or other dealings in the software.",
+    "mit/line": "Released under the MIT License.",
+    "isc/permission": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+                      "that the above copyright notice and this permission notice appear in all copies.",
+    "isc/disclaimer": "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied "
+                      "warranties of merchantability and fitness. In no event shall the author be liable for any special, direct, indirect, or "
+                      "consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, "
+                      "negligence or other tortious action, arising out of or in connection with the use or performance of this software.",
+    "bsd/permission": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+                      "conditions are met:",
+    "bsd/conditions": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+                      "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+                      "the documentation and/or other materials provided with the distribution.",
+    "bsd/endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+                       "from this software without specific prior written permission.",
+    "bsd/disclaimer": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but "
+                      "not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall "
+                      "the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages "
+                      "(including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business "
+                      "interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence "
+                      "or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage.",
+    "zlib/disclaimer": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+                       "damages arising from the use of this software.",
+    "zlib/permission": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+                       "redistribute it freely, subject to the following restrictions:",
+    "zlib/conditions": "The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this "
+                       "software in a product, an acknowledgment in the product documentation would be appreciated but is not required. Altered source "
+                       "versions must be plainly marked as such, and must not be misrepresented as being the original software. This notice may not be "
+                       "removed or altered from any source distribution.",
+    "unlicense/grant": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+                       "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+                       "non-commercial, and by any means.",
+    "apache-2.0/notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+                         "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "apache-2.0/disclaimer": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+                             "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                             "language governing permissions and limitations under the License.",
+    "apache-2.0/line": "Licensed under the Apache License, Version 2.0.",
+    "gpl-notice/permission": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                             "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl-notice/disclaimer": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                             "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "gpl-notice/copy": "You should have received a copy of the GNU General Public License along with this program. If not, see "
+                       "https://www.gnu.org/licenses/",
+    "gpl-work": "This work is licensed under the GNU General Public License version 3",
+    "mpl-2.0/notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+                      "this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "cc-by-work": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-nc-line": "Licensed under CC BY-NC 4.0.",
 }
+_WORD = re.compile(X.WORD_PATTERN)
 
 
 class Automaton:
@@ -108,7 +162,7 @@ class Scanner:
     def __init__(self, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, min_run: int = MIN_RUN, min_cover: float = MIN_COVER):
         self.min_run, self.min_cover = min_run, min_cover
         known: dict[str, int] = {}
-        ids = lambda s: [known.setdefault(w, len(known)) for w in s.split()]
+        ids = lambda s: [known.setdefault(w, len(known)) for w in _WORD.findall(s.lower())]
         self.templates = [(label, ids(s)) for label, s in templates.items()]
         self.phrases = [(label, ids(s)) for s, label in phrases.items()]
         self.automaton = Automaton([s for _, s in self.templates] + [s for _, s in self.phrases])
@@ -119,7 +173,9 @@ class Scanner:
             for label, s in self.phrases:
                 if any(at + 1 >= len(s) and self._sequence(n)[at + 1 - len(s) : at + 1] == s for n, at in places):
                     self.ends[state].append((len(s), label))
-        self.first_phrase = first_phrase
+        #: Per state: (template, place, words) of the longest run that ends at each place
+        #: of a template; 0 words stand for the length of the current run.
+        self.reach = [self._reached(state, first_phrase) for state in range(len(self.ends))]
         self.words = [w.encode() for w in known]
         joined = b" ".join(self.words)
         data = np.frombuffer(joined, np.uint8)
@@ -131,6 +187,15 @@ class Scanner:
         k = len(self.templates)
         return self.templates[n][1] if n < k else self.phrases[n - k][1]
 
+    def _reached(self, state: int, first_phrase: int) -> list[tuple[int, int, int]]:
+        a, out, seen, at = self.automaton, [], set(), state
+        while at > 0 and a.length[at] >= self.min_run:
+            new = [p for p in a.place[at] if p[0] < first_phrase and p not in seen]
+            out += [(t, place, 0 if at == state else a.length[at]) for t, place in new]
+            seen.update(new)
+            at = a.link[at]
+        return out
+
     def runs(self, low: np.ndarray, offsets: np.ndarray):
         """Word bounds of a chunk, and per text its maximal runs of at least two
         known words as (first word, ids). Only such runs can match."""
@@ -151,45 +216,51 @@ class Scanner:
 
     def read(self, runs) -> tuple[list[tuple[int, str]], list[tuple[int, int, int, int]]]:
         """Base places (first word, label), and anchors (template, place in it,
-        place in the text, words): maximal runs of at least ``min_run``."""
+        place in the text, words): runs of at least ``min_run`` that end at a place of a
+        template, as long as can be, and are not extended by the next word."""
         base, anchors = [], []
         for start, ids in runs:
-            previous = (0, 0)
-            for i, (size, state) in enumerate([*self.automaton.statistics(ids), (0, 0)]):
+            for i, (size, state) in enumerate(self.automaton.statistics(ids)):
                 for n, label in self.ends[state]:
                     if n <= size:
                         base.append((start + i + 1 - n, label))
-                if previous[0] >= self.min_run and size <= previous[0]:
-                    for t, at in self.automaton.place[previous[1]]:
-                        if t < self.first_phrase:
-                            anchors.append((t, at + 1 - previous[0], start + i - previous[0], previous[0]))
-                previous = (size, state)
+                if size >= self.min_run:
+                    after = ids[i + 1] if i + 1 < len(ids) else None
+                    for t, at, n in self.reach[state]:
+                        words = self.templates[t][1]
+                        if at + 1 == len(words) or words[at + 1] != after:
+                            anchors.append((t, at + 1 - (n or size), start + i + 1 - (n or size), n or size))
         return base, anchors
 
-    def covered(self, anchors) -> dict[str, float]:
-        """Share of each template that its best chain covers: anchors ascend in
-        text and template; overlapping words count once."""
-        best: dict[str, float] = {}
-        by_template: dict[int, list] = {}
+    def covered(self, anchors) -> dict[str, tuple[float, list[tuple[int, int]]]]:
+        """Share of each template that its best chain covers, and the spans (first and
+        last word) of the text that cover it: the longest sequence of matched words
+        that ascends strictly in text and template."""
+        by_template: dict[int, set] = {}
         for t, at, place, n in anchors:
-            by_template.setdefault(t, []).append((place, at, n))
-        for t, found in by_template.items():
+            by_template.setdefault(t, set()).update((place + i, -(at + i)) for i in range(n))
+        best = {}
+        for t, cells in by_template.items():
             label, words = self.templates[t]
-            # best cover of a chain that ends before each template position
-            top = [0] * (len(words) + 1)
-            for place, at, n in sorted(set(found)):
-                cover = max(top[: at + 1]) + n
-                if cover > top[at + n]:
-                    top[at + n] = cover
-                if max(top) >= len(words):
-                    break
-            best[label] = max(best.get(label, 0.0), min(1.0, max(top) / len(words)))
+            tops, last, chain = [], [], []
+            for place, at in sorted(cells):
+                k = bisect_left(tops, -at)
+                tops[k:k + 1], last[k:k + 1] = [-at], [len(chain)]
+                chain.append((place, last[k - 1] if k else -1))
+            spans, at = [], last[-1]
+            while at >= 0:
+                place, at = chain[at]
+                if spans and spans[-1][0] == place + 1:
+                    spans[-1] = (place, spans[-1][1])
+                else:
+                    spans.append((place, place))
+            best[label] = (len(tops) / len(words), spans[::-1])
         return best
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanner: Scanner | None = None) -> DataFrame:
     """One row per document, see the contract of the query; further columns:
-    ``chains`` (label, share covered)."""
+    ``chains`` (section, share covered, spans of the text as first and last word)."""
     held = docs.sparkSession.sparkContext.broadcast(scanner or Scanner())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -208,15 +279,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanne
                 base, anchors = s.read(true)
                 cover = s.covered(anchors)
                 labels = sorted({label for _, label in base})
-                more = sorted(set(labels) | {label for label, share in cover.items() if share >= s.min_cover})
+                more = sorted(set(labels) | {section.partition("/")[0] for section, (share, _) in cover.items() if share >= s.min_cover})
                 places = [a for a, _ in base]
                 rows.append((n, len(base), min(places, default=None), max(places, default=None), ",".join(labels), ",".join(more),
-                             1.0 if base else max(cover.values(), default=0.0), sorted(cover.items())))
+                             1.0 if base else max((share for share, _ in cover.values()), default=0.0), sorted(cover.items())))
         i, t = pa.int64(), pa.string()
-        kinds = [i, i, i, i, t, t, pa.float64(), pa.list_(pa.struct([("label", t), ("share", pa.float64())]))]
-        columns = [pa.array(c, k) for c, k in zip(zip(*[(*r[:7], [{"label": a, "share": b} for a, b in r[7]]) for r in rows]), kinds)]
+        kinds = [i, i, i, i, t, t, pa.float64(), pa.list_(pa.struct([("section", t), ("share", pa.float64()), ("spans", pa.list_(pa.struct([("first", i), ("last", i)])))]))]
+        chains = [[{"section": a, "share": b, "spans": [{"first": x, "last": y} for x, y in c]} for a, (b, c) in r[7]] for r in rows]
+        columns = [pa.array(c, k) for c, k in zip([*zip(*[r[:7] for r in rows]), chains], kinds)]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "chains"])
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema[0].dataType.simpleString()
     return X.map_batches(rows, run, f"doc_id {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
-                                    "labels string, score double, chains array<struct<label:string,share:double>>")
+                                    "labels string, score double, chains array<struct<section:string,share:double,spans:array<struct<first:bigint,last:bigint>>>>")

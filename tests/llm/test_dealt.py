@@ -218,14 +218,61 @@ def test_licenses_base(spark, edge, nothing, docs):
     assert licenses.scan(nothing).count() == 0
 
 
-def test_licenses_chain_spans(spark):
-    mit = licenses.TEMPLATES["mit"].split()
-    holed = " ".join(mit[:20] + ["changed"] + mit[22:60])
-    df = spark.createDataFrame([(1, holed.upper()), (2, " ".join(mit[:8])), (3, " ".join(reversed(mit)))], "doc_id bigint, text string")
-    found, _ = by_id(licenses.scan(df))
-    assert found[1].labels == "mit" and found[2].labels == "" and found[3].labels == ""
-    share = {c.label: c.share for c in found[1].chains}
-    assert share["mit"] == pytest.approx((20 + min(60, len(mit)) - 22) / len(mit))
+def test_licenses_sections(spark):
+    text = licenses.TEMPLATES
+    permission = words(text["mit/permission"])
+    holed = " ".join(permission[:20] + ["changed"] + permission[22:60])
+    whole = "\n\n".join(v for k, v in text.items() if k.startswith("mit/") and k != "mit/line")
+    rows = [holed.upper(), " ".join(permission[:8]), " ".join(reversed(permission)), "own words\n" + text["mit/disclaimer"], whole,
+            "code before " + text["bsd/disclaimer"].replace("the copyright holders and contributors", "the regents of a place"), "x " * 600_000 + text["apache-2.0/notice"]]
+    found, _ = by_id(licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")))
+    assert [found[i].labels for i in range(7)] == ["mit", "", "", "mit", "mit", "bsd", "apache-2.0"]
+    chain = {i: {c.section: c for c in found[i].chains} for i in found}
+    assert chain[0]["mit/permission"].share == pytest.approx((20 + min(60, len(permission)) - 22) / len(permission))
+    assert [tuple(x) for x in chain[0]["mit/permission"].spans] == [(0, 19), (21, min(60, len(permission)) - 2)]
+    n = len(words(text["mit/disclaimer"]))
+    assert chain[3]["mit/disclaimer"].share == 1 and [tuple(x) for x in chain[3]["mit/disclaimer"].spans] == [(2, n + 1)] and "mit/permission" not in chain[3]
+    assert {k: c.share for k, c in chain[4].items() if k.startswith("mit/") and k != "mit/line"} == {"mit/permission": 1, "mit/conditions": 1, "mit/disclaimer": 1}
+    assert [tuple(x) for x in chain[6]["apache-2.0/notice"].spans] == [(600_000, 600_000 + len(words(text["apache-2.0/notice"])) - 1)]
+
+
+def test_licenses_repeated_phrase():
+    s = licenses.Scanner(templates={"t": "a b c d x a b c d y"})
+    words_of = {w.decode(): i for i, w in enumerate(s.words)}
+    ids = lambda text: [(0, [words_of[w] for w in text.split()])]
+    assert s.covered(s.read(ids("a b c d"))[1]) == {"t": (0.4, [(0, 3)])}
+    assert s.covered(s.read(ids("a b c d a b c d"))[1]) == {"t": (0.8, [(0, 7)])}
+
+
+def brute_chain(template, text, least):
+    """Longest ascending sequence of matched words that stand in common runs of ``least``."""
+    runs = set()
+    for i in range(len(text)):
+        for j in range(len(template)):
+            n = 0
+            while i + n < len(text) and j + n < len(template) and text[i + n] == template[j + n]:
+                n += 1
+            if n >= least:
+                runs.update((i + k, j + k) for k in range(n))
+    best = [[0] * (len(template) + 1) for _ in range(len(text) + 1)]
+    for i in range(len(text)):
+        for j in range(len(template)):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + ((i, j) in runs))
+    return best[-1][-1]
+
+
+def test_licenses_chain_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(150):
+        templates = {f"t{k}": " ".join(rng.choice(list("abc"), rng.integers(5, 25))) for k in range(3)}
+        s = licenses.Scanner(phrases={"a a": "p"}, templates=templates, min_run=3)
+        number = {w.decode(): i for i, w in enumerate(s.words)}
+        text = [w for w in rng.choice(list("abc"), 30) if w in number]
+        found = s.covered(s.read([(7, [number[w] for w in text])])[1])
+        for name, template in templates.items():
+            share, spans = found.get(name, (0, []))
+            assert round(share * len(template.split())) == brute_chain(template.split(), text, 3) == sum(b - a + 1 for a, b in spans)
+            assert all(7 <= a <= b < 37 for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
 
 
 def test_matching_statistics():
