@@ -58,8 +58,9 @@ def _constant_words(part: bytes) -> int:
     return len(part.translate(None, _NO_LETTER).split())
 
 
-def line_templates(line: bytes) -> tuple[int, list[tuple[int, int]]]:
-    """(tokens, (hash, constant words) of the line's templates); none for a blank line."""
+def line_templates(line: bytes, count=_constant_words) -> tuple[int, list[tuple[int, int]]]:
+    """(tokens, (hash, constant words) of the line's templates); none for a blank line.
+    ``count`` may leave the words out where only hashes are looked up."""
     tokens = line.split()
     n = len(tokens)
     if not n:
@@ -68,18 +69,22 @@ def line_templates(line: bytes) -> tuple[int, list[tuple[int, int]]]:
         tokens = [b"<*>" if _DIGIT.search(t) else t for t in tokens]
     join, h = b" ".join, xxhash.xxh64_intdigest
     whole = join(tokens)
-    words = _constant_words(whole)
+    words = count(whole)
     out = [(h(whole, n), words)]
     if n >= SEGMENT_TOKENS:
         third = (n - LEADING) // 3
         a, b = LEADING + third, LEADING + 2 * third
         head, first, mid, tail = join(tokens[:LEADING]), join(tokens[LEADING:a]), join(tokens[a:b]), join(tokens[b:])
-        out += [(h(join((head, b"<*>", mid, tail)), n + (1 << 32)), words - _constant_words(first)),
-                (h(join((head, first, b"<*>", tail)), n + (2 << 32)), words - _constant_words(mid)),
-                (h(join((head, first, mid, b"<*>")), n + (3 << 32)), words - _constant_words(tail))]
+        out += [(h(join((head, b"<*>", mid, tail)), n + (1 << 32)), words - count(first)),
+                (h(join((head, first, b"<*>", tail)), n + (2 << 32)), words - count(mid)),
+                (h(join((head, first, mid, b"<*>")), n + (3 << 32)), words - count(tail))]
     return n, out
 
 
+def _uncounted(part: bytes) -> int:
+    return 0
+
+
 def _signed(values) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
@@ -163,7 +168,7 @@ def _evidence(docs: DataFrame, text_col: str, templates: DataFrame, min_texts, s
             if not text:
                 continue
             raw = text.encode()
-            lines = [line_templates(line) for line in raw.split(b"\n")]
+            lines = [line_templates(line, _uncounted) for line in raw.split(b"\n")]
             hit = recurs(i, lines)
             if any(hit):
                 found = {h for (_, f), x in zip(lines, hit) if x for h, _ in f}
@@ -216,7 +221,7 @@ def drop_recurring(docs: DataFrame, text_col: str = "text", min_texts=MIN_TEXTS,
         for i, text in enumerate(texts):
             if text:
                 raw = text.encode().split(b"\n")
-                drop = recurs(i, [line_templates(line) for line in raw])
+                drop = recurs(i, [line_templates(line, _uncounted) for line in raw])
                 if any(drop):
                     text = b"\n".join([line for line, x in zip(raw, drop) if not x]).decode()
             done.append(text)
