@@ -131,15 +131,19 @@ SCHEMA = ("conv_id {}, part bigint, last boolean, formatted string, loss_spans a
 def _format(batches):
     current, state = None, None
     out: list[tuple] = []
+    held = 0
 
     def flush(last):
+        nonlocal held
         formatted, spans = state.part()
+        held += len(formatted)
         out.append((current, state.parts, last, formatted, [x for s in spans for x in s], state.n, state.turns.hexdigest(),
                     state.loss_chars, state.loss.hexdigest(), state.chars))
     kinds = None
 
     def table():
-        rows, out[:] = list(zip(*out)), []
+        nonlocal held
+        rows, out[:], held = list(zip(*out)), [], 0
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=[
             "conv_id", "part", "last", "formatted", "loss_spans", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
     for batch in batches:
@@ -153,7 +157,7 @@ def _format(batches):
             elif state.size > PART_CHARS:
                 flush(False)
             state.add(role or "", text or "")
-            if len(out) >= 1000 or sum(len(r[3]) for r in out[-1:]) > PART_CHARS:
+            if len(out) >= 1000 or held > PART_CHARS:
                 yield table()
     if state is not None:
         flush(True)

@@ -7,13 +7,20 @@ Adam, numpy) over a small network on features of the whole text: byte shares,
 repetition, word and line shapes. The logistic loss makes the output an estimate
 of P(good | text).
 
-The prior is the share of positives among the training labels where both kinds
-are given, else ``prior``. Fitting uses at most ``positives`` and ``unlabelled`` rows,
+The prior is estimated from trusted positives and unlabelled texts alone: a network of
+the same form learns to tell the two kinds apart on half of each; on the other half
+the share of unlabelled texts above a cut, over that of positives above it, bounds
+the prior, and the cut is taken where this ratio with its sampling error is least (best
+bin estimation). The share enters CAUTION standard errors low, as the ratio is an upper
+bound, and a prior above the true one calls bad texts good at once while one below it
+changes little. Both halves are used in turn. With fewer than MIN_POSITIVES
+positives the prior is ``prior``. Fitting uses at most ``positives`` and ``unlabelled`` rows,
 taken by least hash of the text (a bounded, documented sample); every row is scored.
 
 A null text is empty; it is scored like any other. Null labels, and labels of ids
 without a document, are ignored; an id labelled twice counts by its least label;
-without positives every score is the prior. Equal texts get equal scores. Only
+without positives every score is the prior. An empty table has no rows; texts of any
+length are read whole, and further columns do not matter. Equal texts get equal scores. Only
 the text is an input of a score.
 """
 
@@ -27,7 +34,7 @@ from pyspark.sql import functions as F
 from editpulse.llm import text as X
 
 POSITIVES, UNLABELLED, PRIOR, THRESHOLD = 3000, 6000, 0.8, 0.3
-HIDDEN = 24
+HIDDEN, MIN_POSITIVES, CAUTION = 24, 50, 3
 N_FEATURES = 128 + 16
 
 _TOKEN = np.array([i not in (9, 10, 11, 12, 13, 32) for i in range(256)])
@@ -81,7 +88,9 @@ class Model:
     def __init__(self, prior: float):
         self.prior, self.p = prior, None
 
-    def fit(self, positive: np.ndarray, unlabelled: np.ndarray, epochs: int = 40, batch: int = 256, rate: float = 0.005, seed: int = 5) -> None:
+    def fit(self, positive: np.ndarray, unlabelled: np.ndarray, epochs: int = 40, batch: int = 256, rate: float = 0.005, seed: int = 5,
+            contrast: bool = False) -> None:
+        """Minimise the non-negative risk, or, with ``contrast``, tell the two samples apart."""
         rng = np.random.default_rng(seed)
         both = np.concatenate([positive, unlabelled])
         self.mean, self.scale = both.mean(0), np.maximum(both.std(0), 1e-3)
@@ -97,8 +106,11 @@ class Model:
                 gu = self._grad(xu, 0)
                 rest = gu[0] - self.prior * gn[0]
                 for k, (m, v) in moment.items():
-                    # Negative part below zero means over-fitting: step back.
-                    g = self.prior * gp[1][k] + gu[1][k] - self.prior * gn[1][k] if rest >= 0 else self.prior * gn[1][k] - gu[1][k]
+                    if contrast:
+                        g = gp[1][k] + gu[1][k]
+                    else:
+                        # Negative part below zero means over-fitting: step back.
+                        g = self.prior * gp[1][k] + gu[1][k] - self.prior * gn[1][k] if rest >= 0 else self.prior * gn[1][k] - gu[1][k]
                     g = g + (1e-3 * self.p[k] if k in "AB" else 0)
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
@@ -124,6 +136,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7, confidence: float = 0.1, slack: float = 0.01) -> float:
+    """Share of the positive kind among ``unlabelled`` rows, see above."""
+    rng = np.random.default_rng(seed)
+    halves = [np.array_split(rows[rng.permutation(len(rows))], 2) for rows in (positive, unlabelled)]
+    found = []
+    for fitted, rest in ((0, 1), (1, 0)):
+        model = Model(0.5)
+        model.fit(halves[0][fitted], halves[1][fitted], contrast=True)
+        above, among = (np.sort(model.score(side[rest])) for side in halves)
+        cuts = np.unique(above)
+        share = [1 - np.searchsorted(scores, cuts) / len(scores) for scores in (above, among)]
+        error = sum((np.log(4 / confidence) / (2 * len(scores))) ** 0.5 for scores in (above, among))
+        best = np.argmin((share[1] + (1 + slack) * error) / share[0])
+        under = CAUTION * (share[1][best] * (1 - share[1][best]) / len(among)) ** 0.5
+        found.append((share[1][best] - under) / share[0][best])
+    return float(np.clip(np.mean(found), 0.01, 0.99))
+
+
 def _feature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     data, offsets = X.column_bytes(batch.column(0))
     rows = [features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in X.chunks(offsets)]
@@ -145,18 +175,17 @@ def _sample(texts: DataFrame, n: int, marks: DataFrame | None = None) -> np.ndar
     found = np.array(rows.to_pylist(), np.float64).reshape(-1, N_FEATURES)
     return found[np.lexsort(found.T)]  # tasks end in any order
 
+
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, prior: float = PRIOR) -> Model:
     """``docs``: doc_id, text; ``labels``: doc_id, quality. Callers leave out held-out labels."""
-    marks = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n = {r.quality: r["count"] for r in marks.groupBy("quality").count().collect()}
-    if n.get(1) and n.get(0):
-        prior = n[1] / (n[0] + n[1])
-    model = Model(prior)
+    good = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    if n.get(1):
-        x = _sample(texts, positives, marks.filter("quality = 1"))
-        if len(x):
-            model.fit(x, _sample(texts, unlabelled))
+    x = _sample(texts, positives, good)
+    if not len(x):
+        return Model(prior)
+    u = _sample(texts, unlabelled)
+    model = Model(estimate_prior(x, u) if len(x) >= MIN_POSITIVES else prior)
+    model.fit(x, u)
     return model
 
 

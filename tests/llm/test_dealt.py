@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -117,6 +118,14 @@ def test_chat_edge_cases(spark, monkeypatch):
     assert chat.digests(turns.limit(0)).count() == 0
 
 
+def test_chat_output_is_held_to_a_part():
+    """Conversations just below a part leave the task one or two at a time."""
+    text = "x" * 900_000
+    source = (pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array(["user"]), pa.array([text])], names=["conv_id", "role", "text"]) for i in range(40))
+    sizes = [b.num_rows for b in chat._format(source)]
+    assert sum(sizes) == 40 and max(sizes) <= 2
+
+
 # 3 ---------------------------------------------------------------------------
 
 def test_language_held_out(spark):
@@ -373,6 +382,16 @@ def test_quality_held_out(spark):
     assert np.mean([a == b for a, b in out]) > 0.9 and len(rows) == 1000
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.8])
+def test_quality_prior_of_mixtures(share):
+    """The share of the positive kind, from positives and unlabelled rows alone."""
+    rng = np.random.default_rng(4)
+    positive = lambda n: rng.normal(0, 1, (n, quality.N_FEATURES))
+    other = lambda n: rng.normal(np.where(np.arange(quality.N_FEATURES) < 12, 1.5, 0), 1, (n, quality.N_FEATURES))
+    mixed = np.concatenate([positive(int(4000 * share)), other(4000 - int(4000 * share))])
+    assert abs(quality.estimate_prior(positive(2000), mixed) - share) < 0.05
+
+
 def test_quality_edge_cases(spark, edge, nothing):
     labels = spark.createDataFrame([(5, 1), (9, 0), (6, None), (999, 1), (5, 1), (9, 1), (None, 1)], "doc_id bigint, quality int")
     for marks in (labels, labels.limit(0)):
