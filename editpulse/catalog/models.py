@@ -36,14 +36,24 @@ def indexed(spark, d):
     return M.index_label(rows).transform(rows).select("revid", F.col("label").cast("int").alias("label"))
 
 
-def areas(spark, d):
-    """A given score with few distinct values, so the curve is exact."""
-    rows = E.edits(spark, d).select(
+def _given_scores(spark, d):
+    """A given score with few distinct values and many ties."""
+    return E.edits(spark, d).select(
         "is_bot", (F.col("hour") + F.col("is_bot") * 3 + F.col("is_minor")).cast("double").alias("score"))
-    roc, pr = EV.binary_areas(rows, "is_bot", "score")
+
+
+def areas(spark, d):
+    roc, pr = EV.binary_areas(_given_scores(spark, d), "is_bot", "score")
     return spark.createDataFrame([(round(roc, 6), round(pr, 6))], "auc_roc double, auc_pr double")
 
 
+def curve(spark, d):
+    """A score that is different in nearly every row."""
+    rows = E.edits_with_change(spark, d).select(
+        "is_bot", (F.col("size_change") * 1000 + F.col("revid") % 1000).cast("double").alias("score"))
+    return EV.score_curve(rows, "is_bot", "score")
+
+
 def multiclass(spark, d):
     return rounded(EV.multiclass_metrics(guesses(E.edits(spark, d))))
 
@@ -260,6 +270,11 @@ QUERIES = {
           FROM running WINDOW w AS (ORDER BY score DESC))""", """
         SELECT round(sum((fpr - fpr0) * (tpr + tpr0) / 2), 6) AS auc_roc,
                round(sum((tpr - tpr0) * (prec + prec0) / 2), 6) AS auc_pr FROM points""")),
+    "eval_score_curve": (curve, with_(CHANGED + """, scores AS (
+          SELECT cast(size_change * 1000 + revid % 1000 AS double) AS score, count(*) FILTER (is_bot = 1) AS n_pos,
+                 count(*) FILTER (is_bot = 0) AS n_neg FROM changed GROUP BY 1)""", """
+        SELECT score, n_pos, n_neg, cast(sum(n_pos) OVER (ORDER BY score DESC) AS bigint) AS tp,
+               cast(sum(n_neg) OVER (ORDER BY score DESC) AS bigint) AS fp FROM scores WHERE score IS NOT NULL""")),
     "eval_multiclass": (multiclass, with_(GUESSES + """, classes AS (
           SELECT c, (SELECT count(*) FROM guesses WHERE label = c AND prediction = c)::double AS tp,
                  (SELECT count(*) FROM guesses WHERE label = c)::double AS actual,

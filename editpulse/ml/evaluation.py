@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from editpulse.operators.aggregates import cluster_profiles, cluster_sizes, confusion_matrix
 from editpulse.operators.aggregates import value_distribution
-from editpulse.session import stored
+from editpulse.session import remove_stored, stored
 
 
 def multiclass_metrics(pred: DataFrame, label: str = "label",
@@ -45,16 +47,63 @@ def multiclass_metrics(pred: DataFrame, label: str = "label",
         weighted(recall).alias("recall"))
 
 
-def binary_areas(pred: DataFrame, label: str, score: str = "rawPrediction",
-                 bins: int = 0) -> tuple[float, float]:
-    """Areas under the ROC and precision-recall curves, exact over all distinct
-    scores (``bins`` = 0); the curves are summed on the executors."""
-    def area(metric):
-        return BinaryClassificationEvaluator(
-            labelCol=label, rawPredictionCol=score, metricName=metric, numBins=bins,
-        ).evaluate(pred)
+def _ranged_scores(pred: DataFrame, label: str, score: str) -> DataFrame:
+    """Rows of each class per score, stored with the range of scores as segment."""
+    if isinstance(pred.schema[score].dataType, VectorUDT):
+        value = vector_to_array(score)[1]
+    else:
+        value = F.col(score).cast("double")
+    rows = pred.select(F.col(label).cast("int").alias("y"), value.alias("score"))
+    counts = rows.filter("y IS NOT NULL AND score IS NOT NULL").groupBy("score").agg(
+        F.count_if(F.col("y") == 1).alias("n_pos"), F.count_if(F.col("y") != 1).alias("n_neg"))
+    return stored(counts.repartitionByRange(F.desc("score")).withColumn(
+        "segment", F.spark_partition_id()), "score-ranges")
 
-    return area("areaUnderROC"), area("areaUnderPR")
+
+def score_curve(pred: DataFrame, label: str, score: str = "rawPrediction") -> DataFrame:
+    """score, n_pos, n_neg, tp, fp: every distinct score with the rows of each class
+    at it, and the rows of each class at it or above it.
+
+    Rows are counted per score, and the counts ranged by score and stored with their
+    range as segment. A running sum stays inside its segment, and starts at the totals
+    of the segments before it: one row per segment, and no range of scores is ever
+    ordered in one task. Rows without a label or a score do not count.
+    """
+    return _curve(_ranged_scores(pred, label, score))
+
+
+def _curve(ranged: DataFrame) -> DataFrame:
+    totals = ranged.groupBy("segment").agg(F.sum("n_pos").alias("p"), F.sum("n_neg").alias("n"))
+    # One row per segment, as many as there are shuffle partitions at most.
+    earlier = Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("segment", *[
+        F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("p", "n")])
+    inside = Window.partitionBy("segment").orderBy(F.desc("score"))
+    return ranged.join(F.broadcast(starts), "segment").select(
+        "score", "n_pos", "n_neg",
+        (F.col("p_before") + F.sum("n_pos").over(inside)).alias("tp"),
+        (F.col("n_before") + F.sum("n_neg").over(inside)).alias("fp"))
+
+
+def binary_areas(pred: DataFrame, label: str,
+                 score: str = "rawPrediction") -> tuple[float | None, float | None]:
+    """Areas under the ROC and precision-recall curves over all distinct scores, by
+    trapezoids, from one curve. Without rows of class 1 both are 0; without rows of the
+    other class both are 1; without rows there are none."""
+    tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
+    tp0, fp0 = tp - F.col("n_pos"), fp - F.col("n_neg")
+    precision = tp / (tp + fp)
+    before = F.coalesce(F.try_divide(tp0, tp0 + fp0), precision)
+    ranged = _ranged_scores(pred, label, score)
+    r = _curve(ranged).agg(
+        F.sum((fp - fp0) * (tp + tp0) / 2).alias("roc"), F.sum((tp - tp0) * (precision + before) / 2).alias("pr"),
+        F.sum("n_pos").alias("p"), F.sum("n_neg").alias("n")).first()
+    remove_stored(ranged)
+    if r.p is None:
+        return None, None
+    if not r.p or not r.n:
+        return (1.0, 1.0) if r.p else (0.0, 0.0)
+    return r.roc / r.p / r.n, r.pr / r.p
 
 
 def silhouette(clustered: DataFrame, features: str = "scaledFeatures",

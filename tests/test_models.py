@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from editpulse.ml import evaluation as EV
@@ -129,3 +129,34 @@ def test_gold(feats):
     assert gold.columns == ["user", "size_bytes", "timestamp", "hour", "day", "prediction"]
     assert gold.count() == feats.count()
     assert gold.groupBy("user").agg(F.count_distinct("prediction").alias("n")).filter("n > 1").count() == 0
+
+
+def scored(spark, rows):
+    return spark.createDataFrame(rows, "label int, score double")
+
+
+@pytest.mark.parametrize("distinct", [1, 2, 7, 100_000])
+def test_areas_by_segments(spark, distinct):
+    """Ties, and scores over many segments, against the evaluator's whole curve."""
+    score = (F.pmod(F.xxhash64("id"), F.lit(distinct)) / distinct).alias("score")
+    rows = spark.range(150_000, numPartitions=8).select((F.rand(3) < 0.2 + score * 0.5).cast("int").alias("label"), score).cache()
+    for area, metric in zip(EV.binary_areas(rows, "label", "score"), ("areaUnderROC", "areaUnderPR")):
+        whole = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", metricName=metric, numBins=0)
+        assert area == pytest.approx(whole.evaluate(rows), abs=1e-9)
+    curve = EV.score_curve(rows, "label", "score")
+    last = curve.orderBy("score").first()
+    assert (last.tp, last.tp + last.fp) == (rows.filter("label = 1").count(), 150_000) and curve.count() == rows.select("score").distinct().count()
+
+
+def test_areas_of_odd_tables(spark):
+    assert EV.binary_areas(scored(spark, []), "label", "score") == (None, None)
+    assert EV.binary_areas(scored(spark, [(1, 0.5), (1, 0.7)]), "label", "score") == (1.0, 1.0)
+    assert EV.binary_areas(scored(spark, [(0, 0.5), (0, 0.7)]), "label", "score") == (0.0, 0.0)
+    rows = [(1, 0.9), (0, 0.1), (None, 0.5), (1, None), (0, 0.1)]
+    assert EV.binary_areas(scored(spark, rows), "label", "score") == (1.0, 1.0)
+
+
+def test_curve_orders_no_range_in_one_task(spark):
+    plan = EV.score_curve(spark.range(10).selectExpr("1 AS label", "double(id) AS score"), "label", "score")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line and "score#" in line]
+    assert windows and all("windowspecdefinition(segment#" in line for line in windows)
