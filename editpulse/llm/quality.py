@@ -136,7 +136,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7, confidence: float = 0.1, slack: float = 0.01) -> float:
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7, confidence: float = 0.1, slack: float = 0.01,
+                   caution: float = CAUTION) -> float:
     """Share of the positive kind among ``unlabelled`` rows, see above."""
     rng = np.random.default_rng(seed)
     halves = [np.array_split(rows[rng.permutation(len(rows))], 2) for rows in (positive, unlabelled)]
@@ -149,7 +150,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7,
         share = [1 - np.searchsorted(scores, cuts) / len(scores) for scores in (above, among)]
         error = sum((np.log(4 / confidence) / (2 * len(scores))) ** 0.5 for scores in (above, among))
         best = np.argmin((share[1] + (1 + slack) * error) / share[0])
-        under = CAUTION * (share[1][best] * (1 - share[1][best]) / len(among)) ** 0.5
+        under = caution * (share[1][best] * (1 - share[1][best]) / len(among)) ** 0.5
         found.append((share[1][best] - under) / share[0][best])
     return float(np.clip(np.mean(found), 0.01, 0.99))
 
