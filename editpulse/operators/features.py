@@ -21,6 +21,7 @@ from editpulse.schemas import DERIVED_FEATURES, PAGE_FEATURES, USER_FEATURES
 
 HOUR = 3600
 WEEK = 604_800
+TRAILING = {"edits_last_hour": HOUR, "edits_last_7_days": WEEK}
 
 
 def join_user_stats(df: DataFrame, stats: DataFrame | None = None, *,
@@ -65,9 +66,10 @@ def edit_features(df: DataFrame) -> DataFrame:
 
 def user_sequence(df: DataFrame, *, user_col: str = "user", ts_col: str = "timestamp",
                   id_col: str = "revid", stats: DataFrame | None = None,
-                  source: DataFrame | None = None,
+                  source: DataFrame | None = None, horizons: dict[str, int] | None = None,
                   max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Position in the user's history, gap to the edit before, rapid flag.
+    """Position in the user's history, gap to the edit before, rapid flag, and
+    with ``horizons`` (column: seconds) the trailing counts, on the same shuffle.
 
     ``source`` may name a cheaper table with the same rows for the hot-user
     check.
@@ -80,13 +82,16 @@ def user_sequence(df: DataFrame, *, user_col: str = "user", ts_col: str = "times
         "_before": previous(seconds, split, order),
     })
     gap = F.coalesce(seconds - F.col("_before"), F.lit(0)).cast("bigint")
-    return (
+    out = (
         drop_carry(rows, split)
         .withColumn("time_since_last_edit_sec", gap)
         .withColumn("user_is_rapid_editor",
                     flag(F.col("time_since_last_edit_sec").between(1, 60)))
         .drop("_before")
     )
+    if horizons:
+        out = trailing_counts(out, user_col, seconds, horizons, max_rows, df if source is None else source, split)
+    return out
 
 
 def page_sequence(df: DataFrame, *, page_col: str = "page_title", ts_col: str = "timestamp",
@@ -122,13 +127,13 @@ def derived_features(df: DataFrame) -> DataFrame:
     }).fillna(0, subset=DERIVED_FEATURES)
 
 
-def features(silver: DataFrame, *, max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Silver plus the 28 features.
+def features(silver: DataFrame, *, trailing: bool = False, max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """Silver plus the 28 features, and with ``trailing`` the trailing edit counts.
 
     Pass a stored silver table: statistics and hot-key checks read a few of its
     columns each, next to the one pass over whole rows.
     """
-    by_user = user_sequence(silver, stats=user_stats(silver), max_rows=max_rows)
+    by_user = user_sequence(silver, stats=user_stats(silver), horizons=TRAILING if trailing else None, max_rows=max_rows)
     # Counted on silver itself; the user step keeps every row.
     by_page = page_sequence(by_user, source=silver, stats=page_stats(silver), max_rows=max_rows)
     filled = by_page.fillna(0, subset=USER_FEATURES + PAGE_FEATURES)
@@ -140,5 +145,4 @@ def trailing_edit_counts(df: DataFrame, *, user_col: str = "user", ts_col: str =
                          source: DataFrame | None = None,
                          max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Edits by the same user in the last hour and the last seven days."""
-    horizons = horizons or {"edits_last_hour": HOUR, "edits_last_7_days": WEEK}
-    return trailing_counts(df, user_col, epoch_seconds(ts_col), horizons, max_rows, source)
+    return trailing_counts(df, user_col, epoch_seconds(ts_col), horizons or TRAILING, max_rows, source)

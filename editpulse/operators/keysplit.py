@@ -192,13 +192,29 @@ def drop_carry(df: DataFrame, split: KeySplit) -> DataFrame:
     return df.filter(~F.col(CARRY)).drop(SEGMENT, CARRY, WEIGHT)
 
 
+def running_counts(key: str, seconds: Column, horizons: dict[str, int]) -> dict[str, Column]:
+    """Rows of the same key in the last N seconds, the current second included,
+    for keys that fit one task.
+
+    A sliding RANGE frame re-reads its frame for every row. The rows up to now
+    less the rows up to N + 1 seconds ago are two frames that only grow, so both
+    are one pass. Rows without a time are peers of each other and of nobody else.
+    """
+    along = Window.partitionBy(key).orderBy(seconds)
+    now = F.count(F.lit(1)).over(along.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    before = {n: F.count(F.lit(1)).over(along.rangeBetween(Window.unboundedPreceding, -length - 1))
+              for n, length in horizons.items()}
+    return {n: now - F.when(seconds.isNull(), 0).otherwise(b) for n, b in before.items()}
+
+
 def trailing_counts(df: DataFrame, key: str, seconds: Column, horizons: dict[str, int],
                     max_rows: int | None = MAX_ROWS,
-                    source: DataFrame | None = None) -> DataFrame:
+                    source: DataFrame | None = None, split: KeySplit | None = None) -> DataFrame:
     """Rows of the same key in the last N seconds, the current second included.
 
-    A sliding RANGE frame re-reads its whole frame for every row, which is
-    quadratic for busy keys. Here rows are first counted per (key, second); each
+    Without hot keys these are running counts in the key's own window, on the
+    shuffle any other window over the key uses. With hot keys (found here, or by
+    the caller's ``split``) rows are first counted per (key, second); each
     count enters at its own second and leaves N+1 seconds later, and a running
     sum over these entries and exits gives the same numbers in one sorted pass
     over at most ``1 + len(horizons)`` rows a second. Whole rows take no part
@@ -206,13 +222,15 @@ def trailing_counts(df: DataFrame, key: str, seconds: Column, horizons: dict[str
     costs the window one row. ``source`` may name a cheaper table with the same
     rows to count.
     """
-    # Rows without a time are peers of each other and of nobody else; they
-    # sort first, and leave before every real second.
+    counted = df if source is None else source
+    if (not has_hot_keys(counted, key, max_rows)) if split is None else split.hot is None:
+        return df.withColumns(running_counts(key, seconds, horizons))
+    # Rows without a time sort first, and leave before every real second.
     long_ago = F.lit(-(2 ** 62)).cast("bigint")
     names = list(horizons)
     deltas = [f"_d{i}" for i in range(len(names))]
     per_second = (
-        (df if source is None else source).select(key, seconds.alias("_at"))
+        counted.select(key, seconds.alias("_at"))
         .groupBy(key, "_at").agg(F.count(F.lit(1)).alias("_n")))
     none = F.lit(0).cast("bigint")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from editpulse.ml import models as M
 from editpulse.operators.clean import silver
-from editpulse.operators.features import features, trailing_edit_counts
+from editpulse.operators.features import features
 from editpulse.operators.joins import new_revisions
 from editpulse.operators.kpis import summary_card
 from editpulse.plans.reports import kpi_tables, model_tables
@@ -40,10 +40,7 @@ def build_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> Dat
 def build_features(spark: SparkSession, silver_path: str, features_path: str, *,
                    trailing: bool = True) -> DataFrame:
     rows = TB.read_table(spark, silver_path)
-    out = features(rows)
-    if trailing:
-        out = trailing_edit_counts(out, source=rows)
-    TB.write_features(out, features_path)
+    TB.write_features(features(rows, trailing=trailing), features_path)
     return TB.read_table(spark, features_path)
 
 

@@ -45,7 +45,7 @@ def test_split_equals_plain(skewed, limit):
     assert same(FE.features(silver, max_rows=None), FE.features(silver, max_rows=limit))
 
 
-@pytest.mark.parametrize("limit", [150, 2000])
+@pytest.mark.parametrize("limit", [150, 1000, None])
 def test_trailing_counts_equal_range_frames(skewed, limit):
     found = FE.trailing_edit_counts(skewed, max_rows=limit)
     sec = epoch_seconds("timestamp")
@@ -54,6 +54,9 @@ def test_trailing_counts_equal_range_frames(skewed, limit):
         wrong = found.withColumn("_want", F.count("*").over(w)).filter(F.col(name) != F.col("_want"))
         assert wrong.count() == 0
     assert found.count() == skewed.count()
+    silver = C.size_change(skewed, max_rows=None)
+    inside = FE.features(silver, trailing=True, max_rows=limit).select("revid", *FE.TRAILING)
+    assert same(inside, found.select("revid", *FE.TRAILING))
 
 
 def test_a_hot_null_key_is_split_too(skewed):

@@ -57,12 +57,13 @@ def test_dedup_limits_groups_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in below
 
 
-def test_features_shuffle_whole_rows_twice(spark, sf_dir, tmp_path):
+@pytest.mark.parametrize("trailing", [False, True])
+def test_features_shuffle_whole_rows_twice(spark, sf_dir, tmp_path, trailing):
     path = str(tmp_path / "silver")
     C.silver(E.bronze(spark, sf_dir)).write.parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(FE.features(spark.read.parquet(path), max_rows=None))
+        plan = plan_of(FE.features(spark.read.parquet(path), trailing=trailing, max_rows=None))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # one by user, one by page for the rows; the rest belongs to the statistics
