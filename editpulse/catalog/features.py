@@ -1,5 +1,8 @@
 """Ordered computations and the feature table."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editpulse.catalog.aggregates import changed, featured, plain
@@ -9,6 +12,8 @@ from editpulse.operators import clean as C
 from editpulse.operators import features as FE
 from editpulse.plans import edits as E
 from editpulse.schemas import ALL_FEATURES
+from editpulse.session import scratch_dir
+from editpulse.sources import layout as L
 
 _DOUBLES = {"user_avg_edit_size", "user_minor_edit_ratio", "page_avg_edit_size",
             "page_controversy_score", "edit_efficiency", "user_specialization", "page_edit_density"}
@@ -40,6 +45,31 @@ def null_check(df):
     return A.null_counts(df, ALL_FEATURES)
 
 
+def from_buckets(spark, d):
+    """All features of edits that are stored in buckets of the user."""
+    path = scratch_dir(spark, "by-user")
+    L.write_bucketed(E.edits_with_change(spark, d), "edits_by_user", path, buckets=8)
+    found = FE.features(L.read_bucketed(spark, "edits_by_user", path), trailing=True)
+    return rounded(found.select("revid", "page_title", "user", *ALL_FEATURES, *FE.TRAILING))
+
+
+READS = {
+    "pages": (dict(pages=["page_07", "page_42", "page_63"]), "page_title IN ('page_07', 'page_42', 'page_63')"),
+    "week": (dict(since="2024-01-08", until="2024-01-15"), "ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'"),
+    "both": (dict(pages=["page_42"], since="2024-01-10 12:00:00"), "page_title = 'page_42' AND ts >= TIMESTAMP '2024-01-10 12:00:00'"),
+    "all": ({}, "true"),
+}
+
+
+def clustered_reads(spark, d):
+    """Reads by page, by period, by both, and of all rows, from one clustered table."""
+    path = scratch_dir(spark, "clustered")
+    L.write_clustered(E.edits(spark, d), path, bits=3)
+    out = [L.read_clustered(spark, path, **read).select(F.lit(name).alias("read"), "revid", "page_title", "user", "size_bytes")
+           for name, (read, _) in READS.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
 _USER = ["user_total_edits", "user_pages_edited", "user_avg_edit_size",
          "user_minor_edit_count", "user_minor_edit_ratio"]
 _PAGE = ["page_total_edits", "page_unique_editors", "page_avg_edit_size",
@@ -123,6 +153,13 @@ QUERIES = {
     "features_all": (
         featured(lambda df: df.select("revid", "page_title", "user", *ALL_FEATURES)),
         with_(FEATURES, f'SELECT revid, page_title, usr AS "user", {columns_sql(ALL_FEATURES)} FROM features')),
+    "features_from_buckets": (from_buckets, with_(FEATURES, f"""
+        SELECT revid, page_title, usr AS "user", {columns_sql(ALL_FEATURES)},
+               count(*) OVER (PARTITION BY usr ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS edits_last_hour,
+               count(*) OVER (PARTITION BY usr ORDER BY sec RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW) AS edits_last_7_days
+        FROM features""")),
+    "clustered_reads": (clustered_reads, with_(EDITS, " UNION ALL ".join(
+        f"""SELECT '{name}' AS "read", revid, page_title, usr AS "user", size_bytes FROM edits WHERE {where}""" for name, (_, where) in READS.items()))),
     "features_null_check": (
         featured(null_check),
         with_(FEATURES, "SELECT " + ", ".join(

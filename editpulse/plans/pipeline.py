@@ -38,8 +38,10 @@ def build_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> Dat
 
 
 def build_features(spark: SparkSession, silver_path: str, features_path: str, *,
-                   trailing: bool = True) -> DataFrame:
-    rows = TB.read_table(spark, silver_path)
+                   trailing: bool = True, silver_table: DataFrame | None = None) -> DataFrame:
+    """``silver_table`` may be the same rows read by buckets of the user
+    (``sources.layout``), which saves the user step its shuffle."""
+    rows = TB.read_table(spark, silver_path) if silver_table is None else silver_table
     TB.write_features(features(rows, trailing=trailing), features_path)
     return TB.read_table(spark, features_path)
 
