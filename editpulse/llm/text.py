@@ -23,7 +23,7 @@ WORD_BYTE = np.array([48 <= i <= 57 or 97 <= i <= 122 or i >= 128 for i in range
 #: Bytes of text handled at once inside a task; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 #: Limits of an Arrow batch between Spark and a Python task.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -150,7 +150,9 @@ def limit_batches(spark) -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One output batch for each input batch; rows never leave their task."""
+    """One output batch for each input batch; rows never leave their task. Memory
+    that Arrow has freed goes back after each batch: workers outlive their stage, and
+    what they hold on to is missing in the next one."""
     limit_batches(df.sparkSession)
 
     def run(batches):
@@ -158,6 +160,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+            del batch, out
+            pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 
