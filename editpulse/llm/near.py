@@ -14,10 +14,12 @@ the first round, HUBS in later ones) are compared with the greater keys in it; a
 key that is tied to a lesser one leaves all buckets, a key that has been a hub
 leaves that bucket, until no bucket has two keys. So a class of k copies costs k
 comparisons a bucket at most in the first round. Keys that stay are never near each
-other where they share a bucket. A key that is near only to keys that have left is
-not tied to them: a chain of texts may so become more than one class. The sets of
-all keys in buckets are written once; a round joins them, never the texts, and
-removes what the round before has written.
+other where they share a bucket. Then the keys that have left are compared with the
+keys of other classes in their buckets, which closes chains of texts: a class is a
+connected component of all pairs that share a bucket and are near, and only pairs
+that are in one class by then are not compared. The sets of all keys in buckets are
+written once; a round joins them, never the texts, and removes what the round before
+has written.
 
 A null or blank text has the empty set, and is a copy of any other such text. Rows
 that repeat a key are one node, near to what any of their texts is near to; rows
@@ -27,9 +29,11 @@ is read whole, and further columns do not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse.llm import text as X
@@ -153,38 +157,65 @@ def classes(texts: DataFrame) -> DataFrame:
     sketches = stored(X.map_batches(texts.select("key", "text"), _sketch, "key bigint, whole bigint, other bigint, size int, bands array<bigint>"), "near-sketch")
     same = ["whole", "other", "size"]
     heads = sketches.groupBy(*same).agg(F.min("key").alias("head"))
-    ties = [stored(sketches.select("key", *same).join(heads, same).filter("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")), "near-ties")]
-    copies = ties[0].select(F.col("a").alias("key")).distinct()
-    buckets = sketches.join(copies, "key", "left_anti").select("key", "size", F.explode("bands").alias("band")).distinct()
+    copies = stored(sketches.select("key", *same).join(heads, same).filter("key <> head"), "near-copies")
+    # By text, not by key: the other texts of a repeated key stay.
+    buckets = sketches.join(copies, ["key", *same], "left_anti").select("key", "size", F.explode("bands").alias("band")).distinct()
     many = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    left, hubs_wanted = stored(buckets.join(many.hint("merge"), "band"), "near-buckets"), 1
-    remove_stored(sketches)
-    members = stored(left.select("key").distinct(), "near-members")
+    every, hubs_wanted = stored(buckets.join(many.hint("merge"), "band"), "near-buckets"), 1
+    ties = [stored(copies.select(F.col("key").alias("a"), F.col("head").alias("b")).distinct(), "near-ties")]
+    remove_stored(sketches, copies)
+    members = stored(every.select("key").distinct(), "near-members")
     sets = _candidate_sets(texts, members)
     remove_stored(members)
+    left = every
     while True:
         order = Window.partitionBy("band").orderBy("key", "size")
         hubs = stored(left.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs_wanted), "near-hubs")
         met = left.select("band", F.col("key").alias("a"), "size").join(hubs.select("band", F.col("key").alias("b"), F.col("size").alias("other")).hint("merge"), "band").filter("a > b")
-        fits = F.least("size", "other") >= SIMILARITY * F.greatest("size", "other") - 1e-9
-        pairs = stored(met.filter(fits).select("a", "b").distinct(), "near-pairs")
+        pairs = stored(met.filter(_fits()).select("a", "b").distinct(), "near-pairs")
         ties.append(stored(_verified(pairs, sets), "near-ties"))
         gone = ties[-1].select(F.col("a").alias("key")).distinct()
         rest = left.join(hubs.select("band", "key", "size"), ["band", "key", "size"], "left_anti").join(gone, "key", "left_anti")
         last, rest = left, stored(rest, "near-buckets")
         many = rest.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
         left = stored(rest.join(many.hint("merge"), "band"), "near-buckets")
-        remove_stored(last, rest, hubs, pairs)
+        remove_stored(rest, hubs, pairs)
+        if last is not every:
+            remove_stored(last)
         hubs_wanted = HUBS
         if not left.head(1):
             break
-    remove_stored(left, sets)
-    edges = ties[0]
-    for t in ties[1:]:
-        edges = edges.unionByName(t)
-    found = components(edges, "near").select(F.col("node").alias("key"), "root")
+    found = components(reduce(DataFrame.unionByName, ties), "near")
+    mixed = stored(_mixed_buckets(every, found), "near-mixed")
+    remove_stored(left, every)
+    pairs = stored(_apart(mixed), "near-pairs")
+    ties.append(stored(_verified(pairs, sets), "near-ties"))
+    remove_stored(mixed, pairs, sets)
+    if ties[-1].head(1):
+        found = components(reduce(DataFrame.unionByName, ties), "near")
     remove_stored(*ties)
-    return found
+    return found.select(F.col("node").alias("key"), "root")
+
+
+def _fits() -> Column:
+    """Whether sets of these sizes can be similar."""
+    return F.least("size", "other") >= SIMILARITY * F.greatest("size", "other") - 1e-9
+
+
+def _mixed_buckets(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, band, size, root) of the buckets that hold keys of several classes."""
+    rooted = buckets.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
+    return rooted.join(mixed.hint("merge"), "band")
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a bucket, a with a lesser key in its class, b in another
+    class. Two keys that are the least of their classes have been compared before."""
+    gone = rows.filter("key <> root").select("band", F.col("key").alias("a"), "size", F.col("root").alias("root_a"))
+    others = rows.select("band", F.col("key").alias("b"), F.col("size").alias("other"), F.col("root").alias("root_b"))
+    once = (F.col("root_a") != F.col("root_b")) & ((F.col("b") == F.col("root_b")) | (F.col("a") > F.col("b")))
+    return gone.join(others.hint("merge"), "band").filter(once & _fits()).select("a", "b").distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -60,6 +60,31 @@ def test_near_large_group_of_dissimilar_texts_in_one_bucket(spark, monkeypatch):
     assert sorted(r.doc_id for r in near.keep_one(df).collect()) == list(range(10))
 
 
+def test_texts_near_only_to_texts_that_have_left(spark):
+    """The last text is near to all, which are not near to each other: one class, though
+    the last text leaves in the first round."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(8, 92, 7), 2):
+            words[at] = f"edit{i}at{at}"
+        texts.append(" ".join(words))
+    texts.append(" ".join(base))
+    sets = [shingle_set(t) for t in texts]
+    assert all(jaccard(s, sets[-1]) >= 0.8 for s in sets) and jaccard(sets[0], sets[1]) < 0.8
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert [r.doc_id for r in near.keep_one(df).collect()] == [0]
+
+
+def test_other_text_of_a_repeated_id_keeps_its_links(spark):
+    """One text of id 5 is a copy, the other is near to id 7: all three are one class."""
+    one, two = (" ".join(f"{c}{i}" for i in range(80)) for c in "xy")
+    df = spark.createDataFrame([(1, one), (5, one), (5, two), (7, two + " end")], "key bigint, text string")
+    assert sorted(map(tuple, near.classes(df).collect())) == [(5, 1), (7, 1)]
+
+
 def test_near_edges(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "entirely different words here"), (3, None), (4, " \n"), (None, "a b c d"), (5, "A B\tc d"), (6, "a b c")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
