@@ -94,21 +94,25 @@ def alerts(spark, d):
     return flat(SE.edit_war_alerts(SK.current_page_counts(spark, f"{path}/rows")))
 
 
+#: Micro-batches of a replay, however large the table is.
+REPLAY_BATCHES = 20
+
+
 def replayed(spark, d):
     """Stored bronze files replayed as JSON events and parsed on the stream."""
     path = scratch_dir(spark, "replay")
     write_batches(E.bronze(spark, d), f"{path}/files", batch_size=5_000)
-    events = SE.parse_events(SE.replay_source(spark, f"{path}/files", 2))
+    events = SE.parse_events(SE.replay_source(spark, f"{path}/files", 2, max_batches=REPLAY_BATCHES))
     SK.run_available(SK.append_writer(events, f"{path}/rows", f"{path}/checkpoint"))
     return rounded(spark.read.parquet(f"{path}/rows"))
 
 
 def replay_total(spark, d):
-    """Stored files fed into a stream, two per micro-batch."""
+    """Stored files fed into a stream, two per micro-batch, or more where there are many."""
     path = scratch_dir(spark, "replay")
     write_batches(E.bronze(spark, d), f"{path}/files", batch_size=5_000)
     SK.run_available(SK.append_writer(
-        SE.replay_source(spark, f"{path}/files", 2), f"{path}/rows", f"{path}/checkpoint"))
+        SE.replay_source(spark, f"{path}/files", 2, max_batches=REPLAY_BATCHES), f"{path}/rows", f"{path}/checkpoint"))
     return fields(spark.read.parquet(f"{path}/rows"))
 
 

@@ -88,6 +88,15 @@ def test_bounded_run_stops(spark, tmp_path, files):
     assert not query.isActive
 
 
+def test_replay_batches_do_not_grow_with_the_files(spark, tmp_path):
+    for files, batches in ((6, 3), (30, 5)):
+        path = str(tmp_path / f"in{files}")
+        spark.range(files).select(F.col("id").cast("string").alias("value")).repartitionByRange(files, "value").write.text(path)
+        query = SK.run_available(SK.append_writer(SE.replay_source(spark, path, 2, max_batches=5), f"{path}-out", f"{path}-cp"))
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) == batches
+        assert spark.read.parquet(f"{path}-out").count() == files
+
+
 def test_flags_and_sketch(spark, files):
     events = SE.parse_events(spark.read.text(str(files)))
     row = events.filter(F.col("user") == "z").first()
