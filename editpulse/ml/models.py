@@ -67,8 +67,10 @@ def edit_type_rows(features: DataFrame) -> DataFrame:
 def train_bot_model(features: DataFrame, *, trees: int = 100, depth: int = 10,
                     seed: int = 42) -> tuple[PipelineModel, DataFrame] | None:
     """Random forest with class weights. Returns the model and the scored test
-    rows, or None when there is only one class."""
-    rows = bot_rows(features)
+    rows, or None when there is only one class. The label and inputs are stored, as
+    the split, the weights and the test rows read them again, and ``features`` may be
+    lazy; a row keeps its nodes, so that no level walks the trees from their roots."""
+    rows = stored(bot_rows(features), "bot-rows")
     if not trainable(rows, "is_bot"):
         return None
     split = stratified_split(rows, "is_bot")
@@ -76,7 +78,7 @@ def train_bot_model(features: DataFrame, *, trees: int = 100, depth: int = 10,
     test = split.filter("split = 'test'").withColumn("weight", F.lit(1.0))
     forest = RandomForestClassifier(
         labelCol="is_bot", featuresCol="features", weightCol="weight",
-        numTrees=trees, maxDepth=depth, seed=seed)
+        numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
     with kept(train) as held:
         model = Pipeline(stages=[assemble(BOT_INPUTS), scale(), forest]).fit(held)
     return model, model.transform(test)

@@ -160,3 +160,19 @@ def test_curve_orders_no_range_in_one_task(spark):
     plan = EV.score_curve(spark.range(10).selectExpr("1 AS label", "double(id) AS score"), "label", "score")._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line and "score#" in line]
     assert windows and all("windowspecdefinition(segment#" in line for line in windows)
+
+
+def test_bot_inputs_are_computed_once(spark):
+    """The split, the weights, the fit and the test rows all read stored inputs."""
+    from editpulse.schemas import BOT_INPUTS
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+    pass_on = F.udf(counted, "bigint").asNondeterministic()
+    rows = spark.range(400).select(F.col("id").alias("revid"), (F.col("id") % 4 == 0).cast("int").alias("is_bot"), *[
+        (pass_on("id") if c == BOT_INPUTS[0] else F.col("id") % (i + 3)).alias(c) for i, c in enumerate(BOT_INPUTS)])
+    model, pred = M.train_bot_model(rows, trees=3, depth=3)
+    assert pred.count() == 80 and seen.value == 400
+    assert model.stages[-1].getOrDefault("cacheNodeIds")
