@@ -21,7 +21,9 @@ PER_FILE = 2_000
 
 def stored_files(spark, d, *kinds):
     """Bronze as files of ``PER_FILE`` ids each, in one folder per kind: JSON
-    lines, lines that are cut off, arrays over many lines, and blanks."""
+    lines, lines that are cut off, arrays over many lines, and blanks. One job makes
+    the texts and writes the files of all kinds; read them by folder, as a listing by
+    names of files costs a task for each."""
     path = scratch_dir(spark, "audit")
     records = E.json_records(E.bronze(spark, d), keep=("revid",))
     file = records.groupBy(F.floor(F.col("revid") / PER_FILE).alias("file")).agg(F.sort_array(F.collect_list("value")).alias("v"))
@@ -31,25 +33,25 @@ def stored_files(spark, d, *kinds):
         "arrays": F.concat(F.lit("[\n"), F.array_join("v", ",\n"), F.lit("\n]")),
         "blank": F.lit(" \n\t"),
     }
-    for kind in kinds or text:
-        file.select(text[kind].alias("value")).write.option("maxRecordsPerFile", 1).text(f"{path}/{kind}")
+    rows = file.select(F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), text[kind].alias("value")) for kind in kinds or text])))
+    rows.write.partitionBy("kind").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
 def file_audit(spark, d):
-    audit = Q.file_audit(spark, f"{stored_files(spark, d)}/*/part-*")
-    kind = F.element_at(F.split("file", "/"), -2)
+    audit = Q.file_audit(spark, f"{stored_files(spark, d)}/kind=*")
+    kind = F.regexp_extract("file", "/kind=([^/]*)/[^/]*$", 1)
     return audit.groupBy(kind.alias("folder"), "format").agg(F.count("*").alias("files"))
 
 
 def mixed(spark, d):
     """Lines and arrays give all records, broken and blank files none."""
-    return rounded(read_bronze(spark, f"{stored_files(spark, d)}/*/part-*"))
+    return rounded(read_bronze(spark, f"{stored_files(spark, d)}/kind=*"))
 
 
 def progress(spark, d):
     path = stored_files(spark, d, "lines")
-    records = parse_records(read_lines(spark, f"{path}/lines/part-*"), keep=("file",))
+    records = parse_records(read_lines(spark, f"{path}/kind=lines"), keep=("file",))
     return Q.collection_progress(records, 1_000_000)
 
 

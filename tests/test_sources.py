@@ -315,3 +315,17 @@ def test_staged_pipeline(spark, tmp_path, golden):
     PL.build_kpis(spark, silver, feats, kpis)
     assert spark.read.json(f"{kpis}/dataset").first().total_edits == 7
     assert spark.read.json(f"{kpis}/reverts").first().revert_candidates == 1
+
+
+def test_audit_files_of_all_kinds_are_written_by_one_job(spark, sf_dir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from editpulse.catalog import quality as CQ
+    writes, real = [], DataFrameWriter.text
+
+    def counted(self, path, *rest, **more):
+        writes.append(path)
+        return real(self, path, *rest, **more)
+    monkeypatch.setattr(DataFrameWriter, "text", counted)
+    found = {(r.folder, r.format): r.files for r in CQ.file_audit(spark, sf_dir).collect()}
+    assert len(writes) == 1 and len(set(found.values())) == 1
+    assert set(found) == {("lines", "ndjson"), ("broken", "corrupt"), ("arrays", "array_file"), ("blank", "empty")}
