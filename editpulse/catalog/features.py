@@ -48,7 +48,8 @@ def null_check(df):
 def from_buckets(spark, d):
     """All features of edits that are stored in buckets of the user."""
     path = scratch_dir(spark, "by-user")
-    L.write_bucketed(E.edits_with_change(spark, d), "edits_by_user", path, buckets=8)
+    buckets = L.buckets_for(E.edits(spark, d), 8)
+    L.write_bucketed(E.edits_with_change(spark, d), "edits_by_user", path, buckets=buckets)
     found = FE.features(L.read_bucketed(spark, "edits_by_user", path), trailing=True)
     return rounded(found.select("revid", "page_title", "user", *ALL_FEATURES, *FE.TRAILING))
 

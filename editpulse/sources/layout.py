@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,15 @@ def read_clustered(spark: SparkSession, path: str, *, pages: list[str] | None =
     return (rows if len(zones) == n * n else rows.filter(F.col(ZONE).isin(zones))).drop(ZONE)
 
 
+#: Rows that one bucket, which is one task, holds on average.
+ROWS_PER_BUCKET = 500_000
+
+
+def buckets_for(df: DataFrame, least: int = 8) -> int:
+    """Buckets that keep a task's rows the same however large the table is."""
+    return max(least, ceil(df.count() / ROWS_PER_BUCKET))
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, *, key: str = "user", buckets: int = 64) -> None:
     """Store ``df`` at ``path`` as the table ``name``, bucketed by ``key``. Rows meet by
     bucket before they are written, so a bucket is few files; large ones are split."""

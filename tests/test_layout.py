@@ -103,3 +103,8 @@ def test_bucketed_features_shuffle_once(spark, sf_dir, tmp_path):
         assert "Bucketed: true" not in plan_of(L.read_bucketed(spark, name, path, max_rows=1))
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(L, "ROWS_PER_BUCKET", 100)
+    assert [L.buckets_for(spark.range(n)) for n in (0, 800, 801, 36_000)] == [8, 8, 9, 360]
