@@ -73,17 +73,17 @@ def _cells(tables):
 
 
 def bot_scores(spark, d):
-    _, pred = M.train_bot_model(E.edit_features(spark, d))
+    _, pred = M.train_bot_model(E.bot_features(spark, d))
     return pred.select("revid", "is_bot", F.col("prediction").cast("int").alias("prediction"))
 
 
 def bot_metrics(spark, d):
-    model, pred = M.train_bot_model(E.edit_features(spark, d))
+    model, pred = M.train_bot_model(E.bot_features(spark, d))
     return long_table(_cells(EV.bot_kpis(model, pred)), {"confusion": "cell", "top_features": "feature"})
 
 
 def top_features(spark, d):
-    model, _ = M.train_bot_model(E.edit_features(spark, d))
+    model, _ = M.train_bot_model(E.bot_features(spark, d))
     return rounded(EV.feature_importances(model))
 
 
@@ -115,7 +115,7 @@ def _sound(pred, classes):
 
 def bot_test_rows(spark, d):
     """The rows held out of training, each soundly scored."""
-    _, pred = M.train_bot_model(E.edit_features(spark, d))
+    _, pred = M.train_bot_model(E.bot_features(spark, d))
     return pred.select("revid", "is_bot", _sound(pred, 2))
 
 
@@ -127,7 +127,7 @@ def edit_type_labels(spark, d):
 
 
 def importances(spark, d):
-    model, _ = M.train_bot_model(E.edit_features(spark, d))
+    model, _ = M.train_bot_model(E.bot_features(spark, d))
     return rounded(EV.feature_importances(model, None))
 
 
@@ -207,7 +207,7 @@ def importance_totals(fn):
 
 def separable(spark, d):
     """Trained on rows that two inputs tell apart, the model knows every held-out row."""
-    told = E.edit_features(spark, d).withColumns({"is_minor": F.col("is_bot"), "comment_length": F.col("is_bot") * 40})
+    told = E.bot_features(spark, d).withColumns({"is_minor": F.col("is_bot"), "comment_length": F.col("is_bot") * 40})
     return M.train_bot_model(told)[1].select("revid", "is_bot", F.col("prediction").cast("int").alias("prediction"))
 
 

@@ -23,13 +23,16 @@ from editpulse.operators.aggregates import label_class_check, user_profiles, use
 from editpulse.operators.joins import join_cluster_labels
 from editpulse.operators.sampling import class_weights, split_train_test, stratified_split
 from editpulse.schemas import BOT_INPUTS, CLUSTER_INPUTS, EDIT_TYPE_INPUTS, GOLD_INPUTS
-from editpulse.session import stored
+from editpulse.session import remove_stored, stored
+
+# Rows of one task of the forest: the rows it holds carry two numbers a tree.
+FOREST_TASK_ROWS = 500_000
 
 
 @contextmanager
-def kept(df: DataFrame):
+def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Persist for the duration of an iterative fit."""
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = df.persist(level)
     try:
         yield held
     finally:
@@ -51,6 +54,17 @@ def index_label(df: DataFrame, column: str = "edit_magnitude",
     return StringIndexer(inputCol=column, outputCol=output, handleInvalid="keep").fit(df)
 
 
+def dealt(df: DataFrame, inputs: list[str], id_col: str = "revid") -> DataFrame:
+    """Rows dealt evenly over all cores, and over more tasks the more rows there are.
+
+    Inside a task rows are ordered by inputs, so that neighbours count into the same
+    nodes, which are then at hand. Task and place follow from a row's id and inputs: a
+    forest, which draws its bags by task and place, draws the same ones wherever the
+    rows came from, and when a lost task is repeated."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // FOREST_TASK_ROWS))
+    return df.repartition(tasks, id_col).sortWithinPartitions(*inputs, id_col)
+
+
 def trainable(df: DataFrame, label: str) -> bool:
     return bool(label_class_check(df, label).first().ok)
 
@@ -68,18 +82,22 @@ def train_bot_model(features: DataFrame, *, trees: int = 100, depth: int = 10,
                     seed: int = 42) -> tuple[PipelineModel, DataFrame] | None:
     """Random forest with class weights. Returns the model and the scored test
     rows, or None when there is only one class. The label and inputs are stored, as
-    the split, the weights and the test rows read them again, and ``features`` may be
-    lazy; a row keeps its nodes, so that no level walks the trees from their roots."""
+    the split reads them again, and ``features`` may be lazy; so is the split, for the
+    weights, the training and the test rows. The forest holds its own form of the
+    training rows and reads ours only before it grows, so they wait on disk; the node
+    a row has reached in each tree is held, and not written out as a checkpoint."""
     rows = stored(bot_rows(features), "bot-rows")
     if not trainable(rows, "is_bot"):
         return None
-    split = stratified_split(rows, "is_bot")
+    split = stored(stratified_split(rows, "is_bot"), "bot-split")
+    remove_stored(rows)
     train = class_weights(split.filter("split = 'train'"), "is_bot")
     test = split.filter("split = 'test'").withColumn("weight", F.lit(1.0))
     forest = RandomForestClassifier(
         labelCol="is_bot", featuresCol="features", weightCol="weight",
-        numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
-    with kept(train) as held:
+        numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True,
+        checkpointInterval=-1)
+    with kept(dealt(train, BOT_INPUTS), StorageLevel.DISK_ONLY) as held:
         model = Pipeline(stages=[assemble(BOT_INPUTS), scale(), forest]).fit(held)
     return model, model.transform(test)
 

@@ -140,6 +140,12 @@ def features(silver: DataFrame, *, trailing: bool = False, max_rows: int | None
     return derived_features(edit_features(temporal_features(filled)))
 
 
+def user_features(silver: DataFrame, *, max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """The user step of ``features`` alone, with the same values: for work that reads
+    nothing of the page."""
+    return user_sequence(silver, stats=user_stats(silver), max_rows=max_rows).fillna(0, subset=USER_FEATURES)
+
+
 def trailing_edit_counts(df: DataFrame, *, user_col: str = "user", ts_col: str = "timestamp",
                          horizons: dict[str, int] | None = None,
                          source: DataFrame | None = None,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from editpulse.functions.scalars import flag
 from editpulse.operators.clean import comment_columns, size_change, time_columns
-from editpulse.operators.features import features
+from editpulse.operators.features import features, user_features
 from editpulse.operators.keysplit import has_hot_keys
 from editpulse.schemas import BRONZE
 from editpulse.session import apply_defaults, stored
@@ -78,6 +78,14 @@ def edit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(stored(edits_with_change(spark, sf_dir), "edits"))
 
 
+def bot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bot model reads. None of it comes from the page's features, so only the
+    columns of the user step are stored, and rows are not joined or ordered by page again."""
+    rows = edits_with_change(spark, sf_dir).select(
+        "revid", "user", "page_title", "timestamp", "is_bot", "is_minor", "comment_length", "size_change_abs")
+    return user_features(stored(rows, "edits"))
+
+
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored features, for work that reads them again and again."""
     return stored(edit_features(spark, sf_dir), "features")

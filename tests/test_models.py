@@ -176,3 +176,31 @@ def test_bot_inputs_are_computed_once(spark):
     model, pred = M.train_bot_model(rows, trees=3, depth=3)
     assert pred.count() == 80 and seen.value == 400
     assert model.stages[-1].getOrDefault("cacheNodeIds")
+
+
+def test_forest_rows_are_dealt_by_id(spark, feats, monkeypatch):
+    """Tasks of the forest hold even shares, in the same order wherever the rows came from."""
+    seen = []
+    kept = M.kept
+
+    def watched(df, *level):
+        seen.append([(r.task, r.revid) for r in df.select(F.spark_partition_id().alias("task"), "revid").collect()])
+        return kept(df, *level)
+    monkeypatch.setattr(M, "kept", watched)
+    monkeypatch.setattr(M, "FOREST_TASK_ROWS", 100, raising=False)
+    rows = M.bot_rows(feats)
+    for given in (rows.repartition(1), rows.repartitionByRange(5, "user_total_edits")):
+        M.train_bot_model(given, trees=2, depth=2)
+    assert seen[0] == seen[1]
+    sizes = {t: sum(task == t for task, _ in seen[0]) for t, _ in seen[0]}
+    assert len(sizes) == -(-len(seen[0]) // 100) > 4 and max(sizes.values()) < 150
+
+
+def test_bot_inputs_without_the_page_step(spark, sf_dir, feats):
+    """The narrow features hold what the model reads, value by value, and join no page."""
+    narrow = E.bot_features(spark, sf_dir)
+    ours, whole = M.bot_rows(narrow), M.bot_rows(feats)
+    assert ours.count() == whole.count() and ours.schema == whole.schema
+    assert ours.exceptAll(whole).count() == whole.exceptAll(ours).count() == 0
+    plan = ours._jdf.queryExecution().optimizedPlan().toString()
+    assert "page_total_edits" not in plan and plan.count("Join") == 1
