@@ -25,7 +25,7 @@ from editpulse.operators.sampling import class_weights, split_train_test, strati
 from editpulse.schemas import BOT_INPUTS, CLUSTER_INPUTS, EDIT_TYPE_INPUTS, GOLD_INPUTS
 from editpulse.session import remove_stored, stored
 
-# Rows of one task of the forest: the rows it holds carry two numbers a tree.
+# Rows of one task of the forest at most, about: the rows it holds carry two numbers a tree.
 FOREST_TASK_ROWS = 500_000
 
 
@@ -55,14 +55,15 @@ def index_label(df: DataFrame, column: str = "edit_magnitude",
 
 
 def dealt(df: DataFrame, inputs: list[str], id_col: str = "revid") -> DataFrame:
-    """Rows dealt evenly over all cores, and over more tasks the more rows there are.
+    """Rows dealt evenly over all cores, in as many rounds of tasks as the rows need.
 
     Inside a task rows are ordered by inputs, so that neighbours count into the same
     nodes, which are then at hand. Task and place follow from a row's id and inputs: a
     forest, which draws its bags by task and place, draws the same ones wherever the
     rows came from, and when a lost task is repeated."""
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // FOREST_TASK_ROWS))
-    return df.repartition(tasks, id_col).sortWithinPartitions(*inputs, id_col)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    rounds = max(1, -(-df.count() // (FOREST_TASK_ROWS * cores)))
+    return df.repartition(rounds * cores, id_col).sortWithinPartitions(*inputs, id_col)
 
 
 def trainable(df: DataFrame, label: str) -> bool:

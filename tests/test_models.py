@@ -187,13 +187,14 @@ def test_forest_rows_are_dealt_by_id(spark, feats, monkeypatch):
         seen.append([(r.task, r.revid) for r in df.select(F.spark_partition_id().alias("task"), "revid").collect()])
         return kept(df, *level)
     monkeypatch.setattr(M, "kept", watched)
-    monkeypatch.setattr(M, "FOREST_TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(M, "FOREST_TASK_ROWS", 90, raising=False)
     rows = M.bot_rows(feats)
     for given in (rows.repartition(1), rows.repartitionByRange(5, "user_total_edits")):
         M.train_bot_model(given, trees=2, depth=2)
     assert seen[0] == seen[1]
     sizes = {t: sum(task == t for task, _ in seen[0]) for t, _ in seen[0]}
-    assert len(sizes) == -(-len(seen[0]) // 100) > 4 and max(sizes.values()) < 150
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes) == cores * -(-len(seen[0]) // (90 * cores)) > -(-len(seen[0]) // 90) and max(sizes.values()) < 120
 
 
 def test_bot_inputs_without_the_page_step(spark, sf_dir, feats):
