@@ -93,7 +93,8 @@ def train_bot_model(features: DataFrame, *, trees: int = 100, depth: int = 10,
     split = stored(stratified_split(rows, "is_bot"), "bot-split")
     remove_stored(rows)
     train = class_weights(split.filter("split = 'train'"), "is_bot")
-    test = split.filter("split = 'test'").withColumn("weight", F.lit(1.0))
+    # Neighbours by inputs pass the same nodes of the trees.
+    test = split.filter("split = 'test'").withColumn("weight", F.lit(1.0)).sortWithinPartitions(*BOT_INPUTS)
     forest = RandomForestClassifier(
         labelCol="is_bot", featuresCol="features", weightCol="weight",
         numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True,

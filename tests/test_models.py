@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from editpulse.ml import evaluation as EV
 from editpulse.ml import models as M
 from editpulse.operators import kpis as K
@@ -178,6 +179,17 @@ def test_bot_inputs_are_computed_once(spark):
     assert model.stages[-1].getOrDefault("cacheNodeIds")
 
 
+def test_rows_are_scored_in_order_of_inputs(feats):
+    """Inside a task neighbours pass the same nodes; all held-out rows are scored, and no rows are shuffled for it."""
+    from editpulse.schemas import BOT_INPUTS
+    _, pred = M.train_bot_model(feats, trees=2, depth=2)
+    held = pred.select(F.spark_partition_id().alias("task"), "revid", *BOT_INPUTS, "prediction").collect()
+    keys = [(r.task, *r[2:-1]) for r in held]
+    assert keys == sorted(keys) and "Exchange" not in plan_of(pred)
+    split = SA.stratified_split(M.bot_rows(feats), "is_bot")
+    assert sorted(r.revid for r in held) == ids(split.filter("split = 'test'"))
+
+
 def test_forest_rows_are_dealt_by_id(spark, feats, monkeypatch):
     """Tasks of the forest hold even shares, in the same order wherever the rows came from."""
     seen = []
