@@ -6,8 +6,9 @@ are cut at the special tokens, then into words by the published pattern. A word
 is merged over a contiguous rank array: part boundaries and the rank of each
 adjacent pair; scan for the least rank, delete that boundary, refresh the two
 neighbouring ranks. Words of over LONG_WORD bytes use a heap over the same parts
-(the scan is quadratic), with equal results. Encoded words are kept in a bounded
-table per worker, each with its ids, their decimal text and the bytes the ids spell.
+(the scan is quadratic), with equal results. Encoded words are kept with their ids
+in a bounded table per worker, which goes when the worker drops the broadcast: a
+worker outlives its stage, and later stages need the memory.
 
 A null text is empty and has no tokens. Every row is encoded by itself, so
 repeated rows and ties need no rule. An empty table gives no rows, and further
@@ -75,6 +76,8 @@ def byte_characters() -> dict[int, str]:
 class Vocabulary:
     """Ids, bytes and pair ranks of a byte-level BPE file; fits in a broadcast."""
 
+    encoder: Encoder | None = None
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             self._read(f.read())
@@ -137,35 +140,26 @@ def merge_long(parts: list[int], pairs: dict[int, int]) -> list[int]:
     return [p for p in parts if p >= 0]
 
 
-#: What a word becomes: its ids (32 bit, little-endian), their decimal text with
-#: a comma after each, and the bytes they spell. A plain tuple, which the garbage
-#: collector does not have to visit.
-Word = tuple[bytes, str, bytes]
-
-
 class Encoder(dict):
-    """word → Word; filled on first use. Words not met since the table was last
-    half full leave it."""
+    """word → its ids (32 bit, native order); filled on first use. Words not met
+    since the table was last half full leave it. It does not refer to the vocabulary,
+    which holds it."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.v, self.older = vocabulary, {}
+        self.single, self.pairs, self.special, self.older = vocabulary.single, vocabulary.pairs, vocabulary.special, {}
         self.pattern, self.latin = word_pattern(), word_pattern(0xFF)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self.spelling = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
-        self.packed = [i.to_bytes(4, "little") for i in range(len(self.spelling))]
-        self.written = [f"{i}," for i in range(len(self.spelling))]
+        self.packed = [i.to_bytes(4, sys.byteorder) for i in range(len(self.spelling))]
+        self.written = [str(i) for i in range(len(self.spelling))]
 
-    def _word(self, ids: list[int]) -> Word:
-        pick = lambda table: map(table.__getitem__, ids)
-        return b"".join(pick(self.packed)), "".join(pick(self.written)), b"".join(pick(self.spelling))
-
-    def __missing__(self, word: str) -> Word:
+    def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
             raw = word.encode()
             merge = merge_short if len(raw) <= LONG_WORD else merge_long
-            found = self._word(merge([self.v.single[b] for b in raw], self.v.pairs))
+            found = b"".join(map(self.packed.__getitem__, merge([self.single[b] for b in raw], self.pairs)))
             if len(raw) > LONG_WORD:
                 return found
         if len(self) >= CACHE_WORDS // 2:
@@ -174,7 +168,7 @@ class Encoder(dict):
         self[word] = found
         return found
 
-    def words(self, text: str) -> list[Word]:
+    def ids(self, text: str) -> memoryview:
         pieces = [text] if self.cut is None else self.cut.split(text)
         try:
             pattern = self.latin if text.isascii() or text.encode("latin-1") else self.pattern
@@ -183,27 +177,27 @@ class Encoder(dict):
         out = []
         for k, piece in enumerate(pieces):
             if k % 2:
-                out.append(self._word([self.v.special[piece]]))
+                out.append(self.packed[self.special[piece]])
             elif piece:
                 out.extend(map(self.__getitem__, pattern.findall(piece)))
-        return out
+        return memoryview(b"".join(out)).cast("I")
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join([ids for ids, _, _ in self.words(text)]), "<u4")
-
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.spelling.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return np.frombuffer(self.ids(text), np.uint32)
 
+    def written_ids(self, ids: memoryview) -> str:
+        return ",".join(map(self.written.__getitem__, ids))
 
-_encoders: dict[int, Encoder] = {}
+    def decode(self, ids: memoryview | list[int]) -> str:
+        return b"".join(map(self.spelling.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def _encoder(held) -> Encoder:
-    key = id(held.value)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(held.value)
-    return _encoders[key]
+    """The worker's encoder, kept on the broadcast vocabulary."""
+    v = held.value
+    if v.encoder is None:
+        v.encoder = Encoder(v)
+    return v.encoder
 
 
 def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
@@ -215,13 +209,12 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
         coder = _encoder(held)
         n, sha, decoded, ids = [], [], [], []
         for text in batch.column(1).to_pylist():
-            spelt, written, raw = zip(*coder.words(text)) if text else ((), (), ())
-            packed = b"".join(spelt)
-            n.append(len(packed) // 4)
-            sha.append(hashlib.sha256("".join(written)[:-1].encode()).hexdigest())
-            decoded.append(hashlib.sha256(b"".join(raw).decode("utf-8", "replace").encode()).hexdigest())
+            found = coder.ids(text or "")
+            n.append(len(found))
+            sha.append(hashlib.sha256(coder.written_ids(found).encode()).hexdigest())
+            decoded.append(hashlib.sha256(coder.decode(found).encode()).hexdigest())
             if with_ids:
-                ids.append(np.frombuffer(packed, "<i4"))
+                ids.append(np.frombuffer(found, np.int32))
         columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(decoded, pa.string())]
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         if with_ids:
@@ -239,7 +232,7 @@ def decode(rows: DataFrame, vocabulary_path: str, id_col: str = "doc_id", ids_co
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = _encoder(held)
-        texts = [coder.decode(np.array(ids or [], np.int64)) for ids in batch.column(1).to_pylist()]
+        texts = [coder.decode(ids or []) for ids in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
     named = X.named(rows, doc_id=id_col, ids=ids_col).withColumn("ids", F.col("ids").cast("array<int>"))
     return X.map_batches(named, run, f"doc_id {named.schema[0].dataType.simpleString()}, text string")

@@ -7,6 +7,7 @@ ASCII) act on single bytes, so bytes give the same words as code points.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -150,12 +151,14 @@ def limit_batches(spark) -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One output batch for each input batch; rows never leave their task. Memory
-    that Arrow has freed goes back after each batch: workers outlive their stage, and
-    what they hold on to is missing in the next one."""
+    """One output batch for each input batch; rows never leave their task. Workers
+    outlive their stage, and what they hold on to is missing in the next one: what
+    earlier stages have left goes when a task begins, and memory that Arrow has freed
+    after each batch."""
     limit_batches(df.sparkSession)
 
     def run(batches):
+        gc.collect()
         for batch in batches:
             out = fn(batch)
             if out is not None and out.num_rows:
